@@ -1,0 +1 @@
+"""Operators for language-model training data. Nothing else in the library imports this package."""
