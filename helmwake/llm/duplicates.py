@@ -45,7 +45,7 @@ def json_text(text: Column) -> Column:
     A JSON value with one field named twice is no JSON here and is compared as text.
     """
     looks = F.ltrim(text).rlike(r"^[\s\p{Z}]*[\[{]")
-    v = F.try_parse_json(F.translate(text, "\t\n\r\u0085  　  ", "         "))
+    v = F.try_parse_json(F.translate(text, "\t\n\r\u0085  　", " " * 7))
     return F.when(looks, F.to_json(v))
 
 
