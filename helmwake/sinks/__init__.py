@@ -1,0 +1 @@
+"""Writers: chunked episode files, metadata, progress, point clouds and reports."""
