@@ -67,14 +67,11 @@ def full_key(text: Column) -> Column:
 def cheap_key(text: Column) -> Column:
     """Invariant under all formatting: the count of ASCII letters and digits, and a digest of how often each occurs.
 
-    Escapes of JSON are taken out before counting, whatever they stand for, so only
-    letters that no writer needs to escape are counted; a record that spells such
-    a letter as an escape is decoded by its full key first.
+    Letters are counted in upper case, as some have two there. JSON is counted in
+    its canonical form, where neither escapes nor the spelling of numbers differ.
     """
-    looks = text.rlike(r"\\u00[0-7]")
-    bare = F.regexp_replace(text, r"\\(u[0-9a-fA-F]{4}|.)", " ")
-    t = F.when(looks, F.coalesce(F.regexp_replace(json_text(text), r"\\(u[0-9a-fA-F]{4}|.)", " "), bare)).otherwise(bare)
-    letters = F.lower(F.regexp_replace(t, "[^A-Za-z0-9]+", ""))
+    t = F.upper(F.coalesce(json_text(text), text))
+    letters = F.regexp_replace(F.regexp_replace(t, r"\\(U[0-9A-F]{4}|.)", " "), "[^A-Z0-9]+", "")
     return F.struct(F.length(letters).alias("n"), F.xxhash64(F.array_sort(F.split(letters, ""))).alias("h"))
 
 

@@ -88,7 +88,7 @@ def run(symbols: np.ndarray, chunk: int = CHUNK) -> np.ndarray:
 
 # Abbreviations after which a sentence goes on.
 NEVER = frozenset(
-    "no nr fig figs sec cf approx est mr ms mrs dr prof capt lt sgt st vs i.e e.g ver dev vol ch eq min max gen col jr ave "
+    "no nr fig figs sec cf approx est mr ms mrs dr prof capt lt sgt st vs i.e e.g ver v dev vol ch eq min max gen col jr ave "
     "sr sra dra ing pág pag aprox núm env éq mme mlle vgl ff ges ca bzw inkl fr hr abb tab bspw evtl ggf zzgl "
     "p d z n pp art "
     "ок ул д т г рис табл см стр им проф инж напр акад тов гл δρ περ κ σελ αρ डॉ प्रो श्री د أ ص".split()
