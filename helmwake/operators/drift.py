@@ -100,21 +100,25 @@ def events(lines: DataFrame) -> DataFrame:
     order = files(lines)
     held = join_null_safe(catalogue(lines), order.select("stream", "file_id", "ord"), ["stream", "file_id"])
     entry = F.struct("kind", "commas")
-    both = F.array(F.struct("ord", entry.alias("now"), F.lit(None).cast(held.select(entry.alias("x")).schema["x"].dataType).alias("was")), F.struct((F.col("ord") + 1).alias("ord"), F.lit(None).cast(held.select(entry.alias("x")).schema["x"].dataType).alias("now"), entry.alias("was")))
-    shifted = held.select("stream", "field", F.inline(both))
+    none = F.lit(None).cast("struct<kind:string,commas:int>")
+    both = F.array(F.struct("ord", entry.alias("now"), none.alias("was")), F.struct((F.col("ord") + 1).alias("ord"), none.alias("now"), entry.alias("was")))
+    # one exchange by (stream, ord) serves this aggregation and those of ``changes``
+    shifted = held.select("stream", "field", F.inline(both)).repartition("stream", "ord")
     pair = shifted.groupBy("stream", "ord", "field").agg(F.max("was").alias("was"), F.max("now").alias("now"))
     changed = pair.where("ord > 1 AND NOT (was.kind <=> now.kind)")
     # the ordinal after a stream's last file has no file: nothing ended there
-    return join_null_safe(changed, order.select("stream", "ord", "file_id"), ["stream", "ord"]).select(
+    return changed.join(order.select("stream", "ord", "file_id"), ["stream", "ord"]).select(
         "stream", "ord", "file_id", "field", F.col("was.kind").alias("was"), F.col("now.kind").alias("now"), F.coalesce("now.commas", "was.commas").alias("commas")
     )
 
 
-def _paired(ev: DataFrame, by: str) -> DataFrame:
-    """Ended and started fields of one file that share ``by``, paired in order of name; the rest stays single."""
-    gone, new = F.sort_array(F.collect_list(F.when(F.col("now").isNull(), F.struct("field", "commas", "known")))), F.sort_array(F.collect_list(F.when(F.col("was").isNull(), F.struct("field", "commas", "known"))))
-    g = ev.groupBy("stream", "ord", "file_id", by).agg(gone.alias("gone"), new.alias("new"))
-    return g.select("stream", "ord", "file_id", F.explode(F.arrays_zip("gone", "new")).alias("z")).select("stream", "ord", "file_id", F.col("z.gone").alias("gone"), F.col("z.new").alias("new"))
+def _paired(rows: DataFrame, by: str) -> DataFrame:
+    """Ended and started fields of one file that share ``by``, paired in order of name; what has no partner stays single.
+
+    ``gone`` and ``new`` are structs or null; a file's lists hold its changed fields only.
+    """
+    g = rows.groupBy("stream", "ord", "file_id", by).agg(F.sort_array(F.collect_list("gone")).alias("gone"), F.sort_array(F.collect_list("new")).alias("new"))
+    return g.select("stream", "ord", "file_id", by, F.explode(F.arrays_zip("gone", "new")).alias("z")).select("stream", "ord", "file_id", by, F.col("z.gone").alias("gone"), F.col("z.new").alias("new"))
 
 
 def changes(lines: DataFrame, aliases: dict[str, tuple[str, ...]] = ALIASES) -> DataFrame:
@@ -123,25 +127,31 @@ def changes(lines: DataFrame, aliases: dict[str, tuple[str, ...]] = ALIASES) ->
     'added' has an empty old_field, 'removed' an empty new_field; 'retyped' has
     the name in both. A field that ends where another of the same quantity starts
     is 'renamed'. A name outside the alias table counts as the same quantity when
-    it ends or starts beside a field whose values have as many parts.
+    it ends or starts beside a field whose values have as many parts. Without any
+    readable line a file holds no field; a stream's first file changes nothing.
     """
-    ev = events(lines)
-    retyped = ev.where("was IS NOT NULL AND now IS NOT NULL").select("file_id", F.lit("retyped").alias("change_kind"), F.col("field").alias("old_field"), F.col("field").alias("new_field"))
     names = [n for ns in aliases.values() for n in ns]
-    moved = ev.where("was IS NULL OR now IS NULL").withColumn("known", F.col("field").isin(names)).withColumn("q", quantity(F.col("field"), aliases))
-    p = _paired(moved, "q")
+    f = F.struct("field", "commas", F.col("field").isin(names).alias("known"))
+    retyped = F.col("was").isNotNull() & F.col("now").isNotNull()
+    q = F.when(retyped, F.concat(F.lit("="), F.col("field"))).otherwise(quantity(F.col("field"), aliases))
+    ev = events(lines).select("stream", "ord", "file_id", q.alias("q"), F.when(F.col("was").isNotNull(), f).alias("gone"), F.when(F.col("now").isNotNull(), f).alias("new"))
+    p = _paired(ev, "q")
     # second round: what stayed single, by shape; only where a name is unknown
-    single = p.where("gone IS NULL OR new IS NULL").select("stream", "ord", "file_id", F.coalesce("gone", "new").alias("f"), F.col("gone").isNotNull().alias("ended"))
-    single = single.select("stream", "ord", "file_id", "f.*", F.when(F.col("ended"), F.lit("x")).alias("was"), F.when(~F.col("ended"), F.lit("x")).alias("now"))
-    shape = F.when((F.col("commas") > 0), F.col("commas").cast("string")).otherwise(F.concat(F.lit("="), F.col("field")))
-    p2 = _paired(single.withColumn("shape", shape), "shape")
-    ok = F.col("gone").isNotNull() & F.col("new").isNotNull() & ~(F.coalesce(F.col("gone.known"), F.lit(False)) & F.coalesce(F.col("new.known"), F.lit(False)))
-    both = p.where("gone IS NOT NULL AND new IS NOT NULL").unionByName(p2.where(ok))
-    renamed = both.select("file_id", F.lit("renamed").alias("change_kind"), F.col("gone.field").alias("old_field"), F.col("new.field").alias("new_field"))
-    rest = p2.where(~ok)
-    removed = rest.where("gone IS NOT NULL").select("file_id", F.lit("removed").alias("change_kind"), F.col("gone.field").alias("old_field"), F.lit("").alias("new_field"))
-    added = rest.where("new IS NOT NULL").select("file_id", F.lit("added").alias("change_kind"), F.lit("").alias("old_field"), F.col("new.field").alias("new_field"))
-    return retyped.unionByName(renamed).unionByName(removed).unionByName(added).distinct()
+    one = F.coalesce("gone", "new")
+    done = F.col("gone").isNotNull() & F.col("new").isNotNull()
+    shape = F.when(done, F.concat(F.lit("done "), F.col("gone.field"))).when(one["commas"] > 0, F.concat(F.lit("shape "), one["commas"].cast("string"))).otherwise(F.concat(F.lit("="), one["field"]))
+    p = _paired(p.withColumn("shape", shape), "shape")
+    same = done & (F.col("shape").startswith("done") | ~(F.col("gone.known") & F.col("new.known")))
+    change = lambda kind, old, new: F.struct(F.lit(kind).alias("change_kind"), old.alias("old_field"), new.alias("new_field"))
+    old, new, empty = F.col("gone.field"), F.col("new.field"), F.lit("")
+    out = (
+        F.when(same & (old == new), F.array(change("retyped", old, new)))
+        .when(same, F.array(change("renamed", old, new)))
+        .when(done, F.array(change("removed", old, empty), change("added", empty, new)))
+        .when(old.isNotNull(), F.array(change("removed", old, empty)))
+        .otherwise(F.array(change("added", empty, new)))
+    )
+    return p.select("file_id", F.inline(out)).distinct()
 
 
 def lifespans(lines: DataFrame) -> DataFrame:
