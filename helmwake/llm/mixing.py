@@ -26,8 +26,9 @@ def sized(documents: DataFrame, name: str = "byte_bpe_50k", folder: str = TOKENI
     """
     ensure_checkpoint_dir(documents.sparkSession)
     t = with_ids(documents.select("doc_id", "source", "text"), "text", "ids", name, folder)
-    t = t.select("doc_id", "source", F.size("ids").cast("bigint").alias("n_tokens")).where("doc_id IS NOT NULL AND source IS NOT NULL AND n_tokens > 0")
-    one = t.groupBy("doc_id").agg(F.min(F.struct("source", "n_tokens")).alias("s")).select("doc_id", "s.source", "s.n_tokens")
+    t = t.where("doc_id IS NOT NULL AND source IS NOT NULL").select("doc_id", "source", F.size("ids").cast("bigint").alias("n_tokens"))
+    # a filter on the size before the aggregation would encode every text a second time
+    one = t.groupBy("doc_id").agg(F.min(F.struct("source", "n_tokens")).alias("s")).select("doc_id", "s.source", "s.n_tokens").where("n_tokens > 0")
     return one.checkpoint()
 
 
