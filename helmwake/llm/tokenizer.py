@@ -27,6 +27,8 @@ TOKENIZERS = "/opt/tokenizers"
 BUCKETS = 16384
 #: Words among which a repeated word is encoded once.
 STRETCH = 512
+#: Frequent words of the corpus that are folded once for all texts; the bound of that literal, not of what is encoded.
+FREQUENT = 40_000
 #: Longest word, in characters of one kind, that is folded by higher-order functions.
 LONG = 400
 
@@ -91,19 +93,43 @@ def _let(value: str, name: str, body: str) -> str:
     return f"get(transform(array({value}), {name} -> {body}), 0)"
 
 
-def encode_column(df: DataFrame, text: str, out: str, maps: DataFrame) -> DataFrame:
+def _words(text: str) -> str:
+    """SQL of the words of a text column."""
+    quoted = "'" + f"({JAVA_WORDS})".replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"regexp_extract_all(coalesce(`{text}`, ''), {quoted}, 1)"
+
+
+def frequent_words(df: DataFrame, text: str, maps: DataFrame, limit: int = FREQUENT) -> DataFrame:
+    """One row, ``c``: the ids of the most frequent words of the column that are no tokens, as an array of small maps.
+
+    Words are counted with map-side combining over all rows; only the ``limit``
+    most frequent come together. A word that isn't among them is folded where it stands.
+    """
+    d = df.select(text).withColumn("__m", maps.scalar())
+    w = d.select("__m", F.explode(F.expr(f"array_distinct({_words(text)})")).alias("w")).withColumn("w", F.col("w").cast("binary")).where(f"{_rank('__m', 'w')} IS NULL")
+    top = w.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "w").limit(limit)
+    # spread again: the ordered head is one partition, and folding is the work
+    top = top.repartition(64, "w").withColumn("__m", maps.scalar())
+    ids = top.select("w", F.expr(_fold("__m", "w")).alias("i"))
+    b = ids.groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} AS int)").alias("b")).agg(F.map_from_entries(F.collect_list(F.struct("w", "i"))).alias("m"))
+    b = df.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(b, "b", "left")
+    return b.agg(F.expr("array_sort(collect_list(struct(b, m)), (x, y) -> x.b - y.b)").alias("x")).select(F.col("x.m").alias("c"))
+
+
+def encode_column(df: DataFrame, text: str, out: str, maps: DataFrame, cache: DataFrame | None = None) -> DataFrame:
     """Adds ``out``, the ids of the column ``text`` (null: none)."""
     df = df.withColumn("__m", maps.scalar())
+    known = "NULL"
+    if cache is not None:
+        df, known = df.withColumn("__k", cache.scalar()), _rank("__k", "w")
     # a word that is a token needs no merges; in every stretch of words each distinct one is encoded once
-    one = f"IF({_rank('__m', 'w')} IS NOT NULL, array({_rank('__m', 'w')}), {_fold('__m', 'w')})"
+    one = f"IF({_rank('__m', 'w')} IS NOT NULL, array({_rank('__m', 'w')}), coalesce({known}, {_fold('__m', 'w')}))"
     coded = f"transform(transform(d, x -> cast(x AS binary)), w -> {one})"
     placed = "transform(ch, x -> get(c, cast(array_position(d, x) AS int) - 1))"
     stretch = _let("array_distinct(ch)", "d", _let(coded, "c", placed))
     stretches = f"IF(size(ws) = 0, array(), transform(sequence(0, size(ws) - 1, {STRETCH}), k -> slice(ws, k + 1, {STRETCH})))"
-    quoted = "'" + f"({JAVA_WORDS})".replace("\\", "\\\\").replace("'", "\\'") + "'"
-    words = f"regexp_extract_all(coalesce(`{text}`, ''), {quoted}, 1)"
-    ids = _let(words, "ws", f"flatten(flatten(transform({stretches}, ch -> {stretch})))")
-    return df.withColumn(out, F.expr(ids)).drop("__m")
+    ids = _let(_words(text), "ws", f"flatten(flatten(transform({stretches}, ch -> {stretch})))")
+    return df.withColumn(out, F.expr(ids)).drop("__m", "__k")
 
 
 def heap_merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -143,13 +169,16 @@ def with_ids(df: DataFrame, text: str = "text", out: str = "ids", name: str = "b
     """Adds ``out``, the token ids (array<int>) of the column ``text``, without special tokens.
 
     Null and empty texts get an empty list. Strings of special tokens in a text
-    are ordinary text. Every row is encoded on its own: nothing is shuffled and
+    are ordinary text. A first pass counts the words and folds the frequent ones
+    once; in the second every row is encoded on its own, so no text is shuffled and
     repeated texts, ties and extra columns make no difference.
     """
     ranks = read_ranks(name, folder)
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     long_word = t.rlike(_LONG_RUN)
-    short = encode_column(df.where(~long_word), text, out, rank_maps(df.sparkSession, ranks))
+    maps = rank_maps(df.sparkSession, ranks)
+    rest = df.where(~long_word)
+    short = encode_column(rest, text, out, maps, frequent_words(rest, text, maps))
 
     @F.pandas_udf("array<int>")
     def by_heap(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
