@@ -38,9 +38,10 @@ def entries(files: DataFrame) -> DataFrame:
     with no image key at all, have nulls there and are an image of their own.
     """
     name = r"episode_0*(\d+)_0*(\d+)"
-    stem = F.regexp_extract("path", r"([^/\\]*)$", 1)
-    inpath = F.regexp_extract("path", r"(?i)observation\.images\.(rgb|depth)", 1)
-    key = F.when(inpath != "", F.lower(inpath)).when(F.col(f"`{RGB}`").isNotNull(), F.lit("rgb")).when(F.col(f"`{DEPTH}`").isNotNull(), F.lit("depth"))
+    # plain string search first: a regular expression only sees the short last part
+    stem = F.substring_index(F.translate("path", "\\", "/"), "/", -1)
+    low = F.lower("path")
+    key = F.when(low.contains(RGB), F.lit("rgb")).when(low.contains(DEPTH), F.lit("depth")).when(F.col(f"`{RGB}`").isNotNull(), F.lit("rgb")).when(F.col(f"`{DEPTH}`").isNotNull(), F.lit("depth"))
     data = F.coalesce(F.col(f"`{RGB}`"), F.col(f"`{DEPTH}`"))
     e = files.select("file_id", "path", "modified_at", key.alias("image_key"), F.regexp_extract(stem, name, 1).try_cast("bigint").alias("episode_index"), F.regexp_extract(stem, name, 2).try_cast("bigint").alias("frame_index"), data.alias("data"))
     return e.withColumn("complete", complete_png(F.col("data"))).withColumn("size", F.coalesce(F.octet_length("data"), F.lit(0)).cast("bigint"))
