@@ -19,7 +19,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 LEVELS = 32
@@ -217,6 +217,8 @@ def digests(readings: DataFrame, by_day: bool = True, epsilon: float = EPSILON)
 
 def _merge_step(epsilon: float):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        if len(pdf) == 1:
+            return pdf
         parts = [unpack(d) for d in pdf["digest"]]
         x, c = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         _, x, c = compress(np.zeros(len(x), np.int64), x, c, epsilon)
@@ -225,18 +227,22 @@ def _merge_step(epsilon: float):
     return run
 
 
-def merge(parts: DataFrame, keys: Sequence[str], epsilon: float = EPSILON) -> DataFrame:
+def merge(parts: DataFrame, keys: Sequence[str], epsilon: float = EPSILON, most: int | None = None) -> DataFrame:
     """One digest per key from any number of digests, by adding nodes and compressing.
 
-    Partial digests of one key are merged FAN_IN at a time by many tasks, then the
-    results; each is of bounded size, so no task gets more than it can hold.
+    Partial digests of one key are merged about FAN_IN at a time by many tasks,
+    then the results; each is of bounded size, so no task gets more than it can
+    hold. ``most`` is a bound of the digests per key, where one is known; up to
+    FAN_IN of them need no first step.
     """
     keys = list(keys)
     p = parts.select(*keys, "n", "digest")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in p.schema.fields)
-    salted = p.withColumn("__s", F.pmod(F.xxhash64("digest"), F.lit(FAN_IN)))
-    first = salted.groupBy(*keys, "__s").applyInPandas(_merge_step(epsilon), schema + ", `__s` bigint").drop("__s")
-    return first.groupBy(*keys).applyInPandas(_merge_step(epsilon), schema)
+    groups = FAN_IN if most is None else -(-most // FAN_IN)
+    if groups > 1:
+        salted = p.withColumn("__s", F.pmod(F.xxhash64("digest"), F.lit(groups)))
+        p = salted.groupBy(*keys, "__s").applyInPandas(_merge_step(epsilon), schema + ", `__s` bigint").drop("__s")
+    return p.groupBy(*keys).applyInPandas(_merge_step(epsilon), schema)
 
 
 def _read(qs: Sequence[float], epsilon: float):
@@ -267,8 +273,10 @@ def frame_percentiles(frames: DataFrame, qs: Sequence[float] = PERCENTILES, epsi
     of robots from those of their scenes.
     """
     tasks = digests(distinct_readings(frames), by_day=False, epsilon=epsilon)
-    scenes = merge(tasks, ["robot", "scene", "field_name", "dim"], epsilon)
+    # a task gives one digest per key and the exchange before it has so many tasks at most
+    scenes = merge(tasks, ["robot", "scene", "field_name", "dim"], epsilon, int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n_scenes = frames.agg(F.approx_count_distinct("scene", 0.02).alias("n")).first()["n"]
     keys = ["source_kind", "source", "field_name", "dim"]
     both = F.array(F.struct(F.lit("scene").alias("source_kind"), F.col("scene").alias("source")), F.struct(F.lit("robot").alias("source_kind"), F.col("robot").alias("source")))
     each = scenes.select("field_name", "dim", "n", "digest", F.inline(both))
-    return percentiles(merge(each, keys, epsilon), keys, qs, epsilon)
+    return percentiles(merge(each, keys, epsilon, n_scenes), keys, qs, epsilon)
