@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from helmwake.operators.intervals import valid_pair
+from helmwake.operators.prefix import distributed_prefix_sum
 
 #: The fields of one step of a task list.
 TASKS = "array<struct<sub_instruction:string,revised_sub_instruction:string,sub_indexes:array<bigint>,sum_instruction:string,sum_indexes:array<bigint>>>"
@@ -47,10 +48,13 @@ def registry(rows: DataFrame, task: str, order: list[str]) -> DataFrame:
     """(task_index, task): a dense number per distinct task in order of first appearance (J11, ST6).
 
     The numbers are a function of the data alone. Distinct tasks are found with
-    map-side combining; only they are numbered in order.
+    map-side combining and counted bucket by bucket of the first order column,
+    which must be an integer; a null there comes first.
     """
     first = rows.where(F.col(task).isNotNull()).groupBy(F.col(task).alias("task")).agg(F.min(F.struct(*order)).alias("__o"))
-    return first.select((F.row_number().over(Window.orderBy("__o", "task")) - 1).cast("bigint").alias("task_index"), "task")
+    at = F.coalesce(F.col(f"__o.{order[0]}").cast("bigint"), F.lit(-(1 << 62)).cast("bigint"))
+    n = distributed_prefix_sum(first.withColumn("__one", F.lit(1)), [], F.shiftright(at, 10), ["__o", "task"], "__one", "__n")
+    return n.select((F.col("__n") - 1).cast("bigint").alias("task_index"), "task")
 
 
 def encode(rows: DataFrame, reg: DataFrame, task: str) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from helmwake.operators import se3, sequence, spatial, tasks, visibility
-from helmwake.operators.prefix import join_null_safe
+from helmwake.operators.prefix import distributed_prefix_sum, join_null_safe
 from helmwake.sinks import episodes as sink
 from helmwake.sources import clouds, episodes, images, jsonl, uav
 
@@ -184,8 +184,9 @@ def publish(frames: DataFrame, root: str, fps: float, robot: str, overwrite: boo
     from helmwake.operators import stats
 
     sink.prepare(root, overwrite)
-    e = frames.select("source", "source_episode").distinct()
-    e = e.withColumn("episode_index", (F.row_number().over(Window.orderBy("source", "source_episode")) - 1).cast("bigint"))
+    e = frames.select("source", "source_episode").distinct().withColumn("__one", F.lit(1))
+    e = distributed_prefix_sum(e, [], F.col("source"), ["source", "source_episode"], "__one", "__n")
+    e = e.select("source", "source_episode", (F.col("__n") - 1).cast("bigint").alias("episode_index"))
     f = join_null_safe(frames, e, ["source", "source_episode"])
     reg = tasks.registry(f, "task", ["episode_index", "frame_index"])
     f = tasks.encode(f, reg, "task")

@@ -17,6 +17,8 @@ import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from helmwake.operators.prefix import distributed_prefix_sum
+
 CHUNK = 1000
 
 
@@ -37,7 +39,8 @@ def with_indexes(frames: DataFrame, fps: float, episode: str = "episode_index",
     w = Window.partitionBy(episode).orderBy(order)
     f = frames.withColumn("__n", (F.row_number().over(w) - 1).cast("bigint"))
     lengths = f.groupBy(episode).agg(F.count("*").alias("__len"))
-    base = lengths.withColumn("__base", F.coalesce(F.sum("__len").over(Window.orderBy(episode).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("__len")
+    upto = distributed_prefix_sum(lengths, [], F.shiftright(episode, 10), [episode], "__len", "__upto")
+    base = upto.select(episode, (F.col("__upto") - F.col("__len")).alias("__base"))
     f = f.join(base, episode)
     return f.withColumn(order, F.col("__n")).withColumn("index", F.col("__n")).withColumn("global_index", F.col("__base") + F.col("__n")).withColumn("timestamp", F.col("__n") / fps).drop("__n", "__base")
 
