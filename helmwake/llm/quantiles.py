@@ -27,8 +27,8 @@ LEVELS = 32
 EPSILON = 0.005
 FIELDS = ("observation.state", "action")
 PERCENTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
-#: Partial digests one merging task takes at a time; more are merged in steps.
-FAN_IN = 64
+#: Partial digests one merging task takes at a time (at most some 200 kB each); more are merged in steps.
+FAN_IN = 256
 
 
 def leaf(x: np.ndarray) -> np.ndarray:

@@ -25,9 +25,13 @@ def p2_percentiles(spark: SparkSession, d: str) -> DataFrame:
 
 def p2_days(spark: SparkSession, d: str) -> DataFrame:
     """The digests of single days, combined into those of all days: per scene."""
-    days = quantiles.digests(quantiles.distinct_readings(table(spark, d, "frames")), by_day=True)
+    frames = table(spark, d, "frames")
+    days = quantiles.digests(quantiles.distinct_readings(frames), by_day=True)
     keys = ["scene", "field_name", "dim"]
-    return quantiles.percentiles(quantiles.merge(days, keys), keys, (0.5,))
+    # a key has a digest per day and task at most
+    n_days = frames.agg(F.approx_count_distinct(F.to_date("recorded_at"), 0.02).alias("n")).first()["n"]
+    most = n_days * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return quantiles.percentiles(quantiles.merge(days, keys, most=most), keys, (0.5,))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
