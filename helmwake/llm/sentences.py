@@ -100,7 +100,9 @@ _CJK = r"぀-ヿ㐀-䶿一-鿿豈-﫿ｦ-ﾟ"
 _IS_CJK = re.compile(f"[{_CJK}]")
 _BLANK = r"(?:\r\n|\r|\n)(?:[^\S\r\n]*(?:\r\n|\r|\n))+"
 _MARKS = r"[.!?…。！？｡．؟।॥۔;;]+"
-_CLOSERS = r"[\"'”»“’)\]}」』】》〉）›]*(?:[   ]»(?![^\s.,;:!?)]))?"
+_GUILLEMET = r"(?:(?:\r\n|\s)»(?![^\s.,;:!?)]))?"
+# a straight quotation mark behind an East Asian one opens the next sentence
+_CLOSERS = rf"(?:[」』”】》〉）]+[)\]}}]*|[\"'»“’)\]}}›][\"'”»“’)\]}}›]*)?{_GUILLEMET}"
 _POINTS = re.compile(
     f"(?P<para>{_BLANK})"
     rf"|(?P<mark>{_MARKS})(?P<close>{_CLOSERS})"

@@ -48,6 +48,12 @@ def test_missing_space_and_names():
     assert units('He saw the "goal."Nobody moved.') == ['He saw the "goal."', "Nobody moved."]
 
 
+def test_marks_that_meet():
+    assert units('记录员写道：“路径畅通。”"Do we have a fix?" asked J. R. Pellmoor. Stop!') == ["记录员写道：“路径畅通。”", '"Do we have a fix?" asked J. R. Pellmoor.', "Stop!"]
+    assert units("Le rapport dit : « La voie est libre.\n» La suite.") == ["Le rapport dit : « La voie est libre.\n»", "La suite."]
+    assert units("He said (“No.”) Then he left.") == ["He said (“No.”)", "Then he left."]
+
+
 def test_places_are_code_points_without_outer_space():
     t = "　📷 Marker 👩‍🚀 stayed.  \tNext one.\n"
     assert cut([t]) == [[(1, 21), (24, 33)]] and units(t) == ["📷 Marker 👩‍🚀 stayed.", "Next one."]
