@@ -2,7 +2,7 @@
 
 Episodes are grouped by hash, written by the executors one file each under a
 temporary name and renamed, so a task that runs twice leaves one whole file. Only
-counts and the schema come to the driver.
+totals and the metadata's last, ordered file pass through one task.
 """
 
 from __future__ import annotations
@@ -96,8 +96,9 @@ def write_frames(frames: DataFrame, root: str) -> DataFrame:
         yield from _writer(root)(back)
 
     written = safe.mapInArrow(run, "episode_index bigint, path string, n_rows bigint")
-    spark = frames.sparkSession
-    return spark.createDataFrame(written.toPandas(), "episode_index bigint, path string, n_rows bigint")
+    # writing the list is what runs the tasks; it stays beside the data and never comes to the driver
+    written.write.mode("overwrite").parquet(f"{root}/meta/written")
+    return frames.sparkSession.read.parquet(f"{root}/meta/written")
 
 
 def write_jsonl(rows: DataFrame, path: str, order: list[str]) -> None:
