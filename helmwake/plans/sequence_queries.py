@@ -143,7 +143,7 @@ run AS (SELECT ep, k, a AS x, b AS y, c AS z, {sql_wrap('h')} AS yaw FROM ok WHE
 SELECT ep, k AS n_steps, {q6('x')} AS x, {q6('y')} AS y, {q6('z')} AS z, {q6('yaw')} AS yaw FROM (SELECT *, max(k) OVER (PARTITION BY ep) AS mk FROM run) WHERE k = mk""",
 )
 def w15(spark, d):
-    a = table(spark, d, "frames").where("size(action) >= 4 AND episode_index IS NOT NULL AND frame_index < 60")
+    a = table(spark, d, "frames").where("size(action) >= 4 AND episode_index IS NOT NULL AND frame_index IS NOT NULL")
     a = a.select(F.col("episode_index").alias("ep"), F.col("frame_index").alias("f"), F.expr("transform(slice(action, 1, 4), v -> cast(v AS double))").alias("a"))
     a = a.where("abs(a[0]) < 1000 AND abs(a[1]) < 1000 AND abs(a[2]) < 1000 AND abs(a[3]) <= 180").distinct()
     g = a.groupBy("ep").agg(F.array_sort(F.collect_list(F.struct("f", "a"))).alias("s"))
