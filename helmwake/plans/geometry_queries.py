@@ -250,7 +250,8 @@ s AS (SELECT ep, f, stop_at, min(CASE WHEN stop THEN j END) AS fs FROM fl GROUP
 vis AS (SELECT ep, f, CASE WHEN fs IS NULL THEN stop_at ELSE greatest(f + 1, fs - 1) END AS upto FROM s)
 SELECT vis.ep, vis.f, coalesce(max(CASE WHEN NOT edge AND j <= upto THEN j END), vis.f + 1) AS farthest FROM vis JOIN fl ON fl.ep = vis.ep AND fl.f = vis.f GROUP BY vis.ep, vis.f""")
 def j05(spark, d):
-    p = numbered(poses(spark, d)).withColumn("stop_at", F.least(F.col("f") + 12, F.max("f").over(Window.partitionBy("ep"))))
+    # embeddings have no sub-task intervals, so the search ends at the episode's last frame
+    p = numbered(poses(spark, d)).withColumn("stop_at", F.max("f").over(Window.partitionBy("ep")))
     pr = visibility.candidate_pairs(p, ["ep"], "f", "stop_at", P6)
     cam = se3.pose6(_cols())
     q = se3.apply(se3.transpose(cam.r), [F.col("t_x") - F.col("x"), F.col("t_y") - F.col("y"), F.col("t_z") - F.col("z")])
@@ -259,7 +260,9 @@ def j05(spark, d):
     pr = pr.select("ep", "f", "t_frame", "stop_at", u.alias("u"), v.alias("v"), dd.alias("d"))
     depth = F.expr(_DEPTH)
     pr = pr.withColumn("stop", visibility.blocked(F.col("u"), F.col("v"), F.col("d"), depth, w, h)).withColumn("edge", F.coalesce(visibility.near_edge(F.col("u"), F.col("v"), w, h), F.lit(True)))
-    return visibility.farthest(pr, ["ep"], "f", "stop_at", "stop", "edge").select("ep", "f", "farthest")
+    seen = visibility.farthest(pr, ["ep"], "f", "stop_at", "stop", "edge").select("ep", "f", "farthest")
+    # nothing lies beyond the search end: such a frame is its own answer
+    return seen.unionByName(p.where("f >= stop_at").select("ep", "f", F.col("f").alias("farthest")))
 
 
 @R.query("W09_min_filter", f"""WITH px AS (SELECT CAST(ep AS BIGINT) AS ep, CAST(u AS BIGINT) AS u, CAST(v AS BIGINT) AS v, {_DEPTH} AS depth FROM (SELECT unnest(range(0, 3)) AS ep), (SELECT unnest(range(0, 24)) AS u), (SELECT unnest(range(0, 18)) AS v))

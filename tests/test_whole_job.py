@@ -2,6 +2,7 @@
 
 import math
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 
@@ -32,3 +33,37 @@ def test_fold_path_goes_to_the_end(spark, tmp_path):
             a, t = steps[e, f], math.radians(yaw)
             x, y, z, yaw = x + math.cos(t) * a[0] - math.sin(t) * a[1], y + math.sin(t) * a[0] + math.cos(t) * a[1], z + a[2], (yaw + a[3] + 180) % 360 - 180
         assert got[e]["n_steps"] == n and all(abs(got[e][k] - v) < 1e-5 for k, v in (("x", x), ("y", y), ("z", z), ("yaw", yaw)))
+
+
+def seen_farthest(t, r):
+    """Farthest later frame of each frame, by the loop of SURVEY 7.6 up to the last frame; camera of 480 x 270 pixels."""
+    out = {}
+    for i in range(len(t)):
+        free, best = True, i + 1 if i < len(t) - 1 else i
+        for j in range(i + 1, len(t)):
+            q = r[i].T @ (t[j] - t[i])
+            if -q[2] <= 0:
+                break
+            u, v = q[0] * 200 / -q[2] + 240, 269 - (q[1] * 200 / -q[2] + 135)
+            free = 0 <= u < 480 and 0 <= v < 270 and 2 + abs(math.sin(math.radians(u + 2 * v))) * 12 > -q[2]
+            if not free:
+                break
+            if 20 <= u <= 460 and 20 <= v <= 250:
+                best = j
+        out[i] = best
+    return out
+
+
+def test_farthest_looks_to_the_last_frame(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    rows, want = [], {}
+    for e, n in ((0, 300), (1, 20), (2, 1)):
+        v = np.zeros((n, 9), np.float32)
+        v[:, :2], v[:, 2], v[:, 5] = rng.normal(0, 0.0005, (n, 2)), -0.004 * np.arange(n), rng.normal(0, 0.2, n)
+        rows += [{"vec_id": 1000 * e + 3 * i, "embedding": x.tolist(), "label": e} for i, x in enumerate(v)]
+        yaw = np.radians(v[:, 5].astype(float) * 60)
+        r = [np.array([[math.cos(a), -math.sin(a), 0], [math.sin(a), math.cos(a), 0], [0, 0, 1]]) for a in yaw]
+        want |= {(e, i): j for i, j in seen_farthest(v[:, :3].astype(float) * 10, r).items()}
+    assert max(j - i for (_, i), j in want.items()) > 12
+    got = run(spark, tmp_path, "J05_F10_W10_W11_farthest", embeddings=pa.Table.from_pylist(rows, pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())])))
+    assert len(got) == 321 and {(r["ep"], r["f"]): r["farthest"] for r in got} == want
