@@ -67,3 +67,16 @@ def test_farthest_looks_to_the_last_frame(spark, tmp_path):
     assert max(j - i for (_, i), j in want.items()) > 12
     got = run(spark, tmp_path, "J05_F10_W10_W11_farthest", embeddings=pa.Table.from_pylist(rows, pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float32())), ("label", pa.int32())])))
     assert len(got) == 321 and {(r["ep"], r["f"]): r["farthest"] for r in got} == want
+
+
+def test_every_frame_asks_for_its_nearest(spark, tmp_path):
+    times = {(e, f): f * 0.1 + (0.04 if f % 3 == 0 else 0.0) for e, n in ((1, 23), (2, 4)) for f in range(n) if (e, f) not in ((1, 7), (1, 8), (1, 9), (1, 10))}
+    rows = [frame(e, f) | {"timestamp": t} for (e, f), t in times.items()]
+    got = {(r["ep"], round(r["want"], 6)): (r["f"], r["gap"]) for r in run(spark, tmp_path, "J06_nearest_asof", frames=pa.Table.from_pylist(rows + rows[:5], FRAMES))}
+    want = {}
+    for e, f in times:
+        gap, k = min((abs(t - (f * 0.1 + 0.03)), j) for (x, j), t in times.items() if x == e)
+        if gap <= 0.15:
+            want[e, round(f * 0.1 + 0.03, 6)] = k, gap
+    assert len(want) == len(times) and {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
+    assert all(abs(got[k][1] - v[1]) < 1e-5 for k, v in want.items())
