@@ -42,11 +42,16 @@ def f05(spark, d):
     return e.groupBy("episode_index", why.alias("reason")).agg(F.count("*").alias("n"))
 
 
+def delivered(spark, d):
+    """Every frame that came, whatever its readings: ep, f."""
+    return table(spark, d, "frames").where("episode_index IS NOT NULL AND frame_index IS NOT NULL").select(F.col("episode_index").alias("ep"), F.col("frame_index").alias("f"))
+
+
 @R.query("F06_count_match", f"""WITH {STEPS}, l AS (SELECT episode_index AS ep, max(length) AS length FROM episodes GROUP BY episode_index), n AS (SELECT ep, count(DISTINCT f) AS n_frames FROM steps GROUP BY ep)
 SELECT l.ep, length, coalesce(n_frames, 0) AS n_frames, length = coalesce(n_frames, 0) AS matches FROM l LEFT JOIN n ON n.ep = l.ep WHERE l.ep IS NOT NULL AND length IS NOT NULL""")
 def f06(spark, d):
     le = table(spark, d, "episodes").where("episode_index IS NOT NULL").groupBy(F.col("episode_index").alias("ep")).agg(F.max("length").alias("length")).where("length IS NOT NULL")
-    n = steps(spark, d).groupBy("ep").agg(F.count_distinct("f").alias("n_frames"))
+    n = delivered(spark, d).groupBy("ep").agg(F.count_distinct("f").alias("n_frames"))
     return le.join(n, "ep", "left").select("ep", "length", F.coalesce("n_frames", F.lit(0)).alias("n_frames"), (F.col("length") == F.coalesce("n_frames", F.lit(0))).alias("matches"))
 
 
@@ -173,7 +178,7 @@ def a07(spark, d):
 @R.query("A16_O10_status_report", f"WITH {STEPS}, e AS (SELECT episode_index, max(length) AS length FROM episodes WHERE episode_index IS NOT NULL GROUP BY episode_index), n AS (SELECT ep, count(DISTINCT f) AS n FROM steps GROUP BY ep), s AS (SELECT CASE WHEN length IS NULL THEN 'SKIP' WHEN n IS NULL THEN 'ERROR' WHEN n = length THEN 'SUCCESS' ELSE 'FAIL' END AS status FROM e LEFT JOIN n ON n.ep = e.episode_index) SELECT status, count(*) AS n FROM s GROUP BY status")
 def a16(spark, d):
     e = table(spark, d, "episodes").where("episode_index IS NOT NULL").groupBy(F.col("episode_index").alias("ep")).agg(F.max("length").alias("length"))
-    j = e.join(steps(spark, d).groupBy("ep").agg(F.count_distinct("f").alias("k")), "ep", "left")
+    j = e.join(delivered(spark, d).groupBy("ep").agg(F.count_distinct("f").alias("k")), "ep", "left")
     status = F.when(F.col("length").isNull(), "SKIP").when(F.col("k").isNull(), "ERROR").when(F.col("k") == F.col("length"), "SUCCESS").otherwise("FAIL")
     return j.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
 

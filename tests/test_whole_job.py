@@ -80,3 +80,13 @@ def test_every_frame_asks_for_its_nearest(spark, tmp_path):
             want[e, round(f * 0.1 + 0.03, 6)] = k, gap
     assert len(want) == len(times) and {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()}
     assert all(abs(got[k][1] - v[1]) < 1e-5 for k, v in want.items())
+
+
+def test_a_frame_counts_whatever_its_readings(spark, tmp_path):
+    odd = [None, [1.0], [float("nan"), 0.0, 0.0, 0.0], [5000.0, 0.0, 0.0, 0.0], [0.0, 0.0, 0.0, 400.0]]
+    rows = [frame(1, f, s) for f, s in enumerate(odd)] + [frame(1, 0, None), frame(2, 0), frame(2, 1, None), frame(3, 0, None)]
+    lengths = [(1, 5), (2, 3), (3, 1), (4, 2), (5, None), (None, 1)]
+    tables = {"frames": pa.Table.from_pylist(rows, FRAMES), "episodes": pa.Table.from_pylist([{"episode_index": e, "length": n} for e, n in lengths], pa.schema([("episode_index", pa.int64()), ("length", pa.int64())]))}
+    got = {tuple(r) for r in run(spark, tmp_path, "F06_count_match", **tables)}
+    assert got == {(1, 5, 5, True), (2, 3, 2, False), (3, 1, 1, True), (4, 2, 0, False)}
+    assert {tuple(r) for r in run(spark, tmp_path, "A16_O10_status_report")} == {("SUCCESS", 2), ("FAIL", 1), ("ERROR", 1), ("SKIP", 1)}
