@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from helmwake.operators import se3, sequence, spatial, visibility
 from helmwake.plans.base import NUMBERED, POSES, STEPS, Registry, numbered, poses, q6, r6, rounded, sql_apply, sql_mul, sql_rot, sql_wrap, steps
+from helmwake.session import table
+from helmwake.sources.images import depth_pixels
 
 R = Registry()
 W = "OVER (PARTITION BY ep ORDER BY f)"
@@ -268,6 +270,7 @@ def j05(spark, d):
 @R.query("W09_min_filter", f"""WITH px AS (SELECT CAST(ep AS BIGINT) AS ep, CAST(u AS BIGINT) AS u, CAST(v AS BIGINT) AS v, {_DEPTH} AS depth FROM (SELECT unnest(range(0, 3)) AS ep), (SELECT unnest(range(0, 24)) AS u), (SELECT unnest(range(0, 18)) AS v))
 SELECT a.ep, a.u, a.v, {q6('min(b.depth)')} AS min_depth FROM px a JOIN px b ON b.ep = a.ep AND b.u BETWEEN a.u - 5 AND a.u + 5 AND b.v BETWEEN a.v - 5 AND a.v + 5 GROUP BY a.ep, a.u, a.v""")
 def w09(spark, d):
-    axis = lambda n: F.explode(F.expr(f"sequence(0L, {n - 1}L)"))
-    px = spark.range(3).select(F.col("id").alias("ep"), axis(24).alias("u")).select("*", axis(18).alias("v")).withColumn("depth", F.expr(_DEPTH))
-    return visibility.min_filter(px, ["ep"]).select("ep", "u", "v", r6("min_depth").alias("min_depth"))
+    """Every pixel of the complete depth images, with the least depth around it in metres."""
+    # one exchange by image serves the windows over rows and over columns
+    px = depth_pixels(table(spark, d, "image_files"), "observation.images.depth").repartition("file_id")
+    return visibility.min_filter(px, ["file_id"]).select("file_id", "u", "v", r6("min_depth").alias("min_depth"))

@@ -149,3 +149,35 @@ def depth_stats(files: DataFrame, column: str) -> DataFrame:
     """file_id, width, height, nearest, farthest and mean depth in metres of each decodable depth image."""
     e = entries(files).where(F.col("image_key") == column.rsplit(".", 1)[-1]).where("complete").select("file_id", "data")
     return e.mapInPandas(_depths, "file_id bigint, width int, height int, nearest double, farthest double, mean double")
+
+
+#: Pixels that a task sends on at a time.
+PIXELS = 1 << 18
+
+
+def _pixels(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    parts, held = [], 0
+
+    def take() -> pd.DataFrame:
+        ids, pxs = [i for i, _ in parts], [px for _, px in parts]
+        v, u = (np.concatenate([np.indices(px.shape)[k].ravel() for px in pxs]) for k in (0, 1))
+        return pd.DataFrame({"file_id": np.repeat(ids, [px.size for px in pxs]), "v": v, "u": u, "depth": np.concatenate([depth_metres(px).ravel() for px in pxs])})
+
+    for pdf in it:
+        for i, d in zip(pdf["file_id"], pdf["data"]):
+            px = decode_png(bytes(d)) if d is not None else None
+            if px is None or px.ndim != 2:
+                continue
+            parts.append((i, px))
+            held += px.size
+            if held >= PIXELS:
+                yield take()
+                parts, held = [], 0
+    if parts:
+        yield take()
+
+
+def depth_pixels(files: DataFrame, column: str) -> DataFrame:
+    """file_id, v, u and depth in metres of every pixel of each complete, decodable depth image."""
+    e = entries(files).where(F.col("image_key") == column.rsplit(".", 1)[-1]).where("complete").select("file_id", "data")
+    return e.mapInPandas(_pixels, "file_id bigint, v bigint, u bigint, depth double")

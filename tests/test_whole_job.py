@@ -7,6 +7,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 import __spark_entry__ as entry
+from helmwake.sinks.files import png_bytes
 
 FRAMES = pa.schema([("scene", pa.string()), ("robot", pa.string()), ("episode_index", pa.int64()), ("frame_index", pa.int64()), ("timestamp", pa.float64()), ("task_index", pa.int64()), ("observation.state", pa.list_(pa.float32())), ("action", pa.list_(pa.float32()))])
 STILL = [0.0, 0.0, 0.0, 0.0]
@@ -90,3 +91,20 @@ def test_a_frame_counts_whatever_its_readings(spark, tmp_path):
     got = {tuple(r) for r in run(spark, tmp_path, "F06_count_match", **tables)}
     assert got == {(1, 5, 5, True), (2, 3, 2, False), (3, 1, 1, True), (4, 2, 0, False)}
     assert {tuple(r) for r in run(spark, tmp_path, "A16_O10_status_report")} == {("SUCCESS", 2), ("FAIL", 1), ("ERROR", 1), ("SKIP", 1)}
+
+
+IMAGES = pa.schema([("file_id", pa.int64()), ("path", pa.string()), ("n_bytes", pa.int64()), ("modified_at", pa.timestamp("us")), ("observation.images.rgb", pa.binary()), ("observation.images.depth", pa.binary())])
+
+
+def image(i, path, rgb=None, depth=None):
+    return {"file_id": i, "path": path, "observation.images.rgb": rgb, "observation.images.depth": depth}
+
+
+def test_min_filter_over_the_depth_images(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    px = {i: rng.integers(0, 65536, hw).astype(np.uint16) for i, hw in enumerate([(18, 24), (13, 9), (2, 30), (1, 1)])}
+    rows = [image(i, f"s\\videos\\chunk-000\\observation.images.depth\\episode_000001_{i}.png", depth=png_bytes(x)) for i, x in px.items()]
+    rows += [image(10, "s/videos/chunk-000/observation.images.depth/episode_000001_9.png", depth=png_bytes(px[0])[:-20]), image(11, "s/videos/chunk-000/observation.images.rgb/episode_000001_0.png", rgb=png_bytes(np.zeros((4, 4, 3), np.uint8)))]
+    got = {(r["file_id"], r["v"], r["u"]): r["min_depth"] for r in run(spark, tmp_path, "W09_min_filter", image_files=pa.Table.from_pylist(rows, IMAGES))}
+    want = {(i, v, u): x[max(0, v - 5) : v + 6, max(0, u - 5) : u + 6].min() * 0.0001 for i, x in px.items() for v in range(x.shape[0]) for u in range(x.shape[1])}
+    assert got.keys() == want.keys() and all(abs(got[k] - w) < 1e-9 for k, w in want.items())
