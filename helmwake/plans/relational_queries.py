@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from helmwake import functions as fn
 from helmwake.operators import intervals, tasks
+from helmwake.operators.consolidate import entries
 from helmwake.operators.se3 import half_even
 from helmwake.plans.base import STEPS, Registry, q6, r6, steps
 from helmwake.session import table
@@ -228,9 +229,10 @@ def g28(spark, d):
 
 @R.query("O01_O02_numeric_order", rf"WITH n AS (SELECT file_id, {_NAME} AS name FROM image_files WHERE path LIKE '%rgb/%'), p AS (SELECT file_id, name, split_part(name, '_', 2) AS ep, TRY_CAST(regexp_extract(name, '(\d+)\D*$', 1) AS BIGINT) AS k FROM n) SELECT file_id, ep, k, row_number() OVER (PARTITION BY ep ORDER BY k, file_id) AS place FROM p")
 def o01(spark, d):
-    n = table(spark, d, "image_files").where("path LIKE '%rgb/%'").select("file_id", F.regexp_extract("path", r"([^/\\]*)$", 1).alias("name"))
-    n = n.select("file_id", F.coalesce(F.try_element_at(F.split("name", "_"), F.lit(2)), F.lit("")).alias("ep"), fn.last_number(F.col("name")).alias("k"))
-    return n.withColumn("place", F.row_number().over(Window.partitionBy("ep").orderBy(F.col("k").asc_nulls_last(), "file_id")).cast("bigint"))
+    n = entries(table(spark, d, "image_files")).select("file_id", "image_key", fn.base_name(F.translate("path", "\\", "/")).alias("name"))
+    n = n.select("file_id", "image_key", F.coalesce(F.try_element_at(F.split("name", "_"), F.lit(2)), F.lit("")).alias("ep"), fn.last_number(F.col("name")).alias("k"))
+    place = F.row_number().over(Window.partitionBy("image_key", "ep").orderBy(F.col("k").asc_nulls_last(), "file_id")).cast("bigint")
+    return n.select("file_id", "ep", "k", place.alias("place"))
 
 
 @R.query("O04_O05_O06_top_report", "SELECT scene, count(*) AS n FROM frames GROUP BY scene ORDER BY n DESC, scene LIMIT 10")
@@ -247,7 +249,7 @@ def x02(spark, d):
 @R.query("X03_X04_X05_X06_S18_paths", r"""WITH p AS (SELECT file_id, path, regexp_extract(path, '^(.*?)/(?:data|meta|videos)/', 1) AS root FROM image_files WHERE path NOT LIKE '%\%')
 SELECT file_id, root, regexp_extract(path, '^(.*)/[^/]*$', 1) AS parent, regexp_replace(regexp_extract(path, '([^/]*)$', 1), '[^\p{L}\p{N}_-]', '_', 'g') AS safe, regexp_extract(root, '^([^-_]*)', 1) AS prefix, TRY_CAST(regexp_extract(path, '(\d+)\D*$', 1) AS BIGINT) AS last_no FROM p""")
 def x03(spark, d):
-    p = table(spark, d, "image_files").where(~F.col("path").contains("\\")).withColumn("root", fn.scene_root(F.col("path")))
+    p = table(spark, d, "image_files").select("file_id", F.translate("path", "\\", "/").alias("path")).withColumn("root", fn.scene_root(F.col("path")))
     path = F.col("path")
     return p.select("file_id", "root", fn.parent(path).alias("parent"), fn.file_safe(fn.base_name(path)).alias("safe"), fn.scene_prefix(F.col("root")).alias("prefix"), fn.last_number(path).alias("last_no"))
 
