@@ -10,7 +10,7 @@ sum, and each file's key range goes to a manifest.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from helmwake.operators.prefix import distributed_prefix_sum
@@ -22,6 +22,8 @@ PNG_TAIL = "0000000049454E44AE426082"
 RGB, DEPTH = "observation.images.rgb", "observation.images.depth"
 #: Episodes per bucket of the prefix sum, as a power of two.
 BUCKET_BITS = 3
+#: The same for the file_ids of entries without an identity.
+LOOSE_BITS = 10
 
 
 def complete_png(c: Column) -> Column:
@@ -67,12 +69,17 @@ def merged(files: DataFrame) -> DataFrame:
 def surplus(files: DataFrame) -> DataFrame:
     """One row per surplus entry: file_id_a is the smallest file_id of the image, file_id_b another one.
 
-    Only images with several entries are joined back; a row delivered twice with
+    The slim entries go to key ranges and are merged there in order of image and
+    file_id, so an image's first entry comes just before its others; the window
+    reads them as they lie, without another exchange. A row delivered twice with
     one file_id is no surplus. Null file_ids are left out.
     """
-    several = merged(files).where("n_entries > 1").select(*IMAGE, F.col("first_file_id").alias("file_id_a"))
-    e = entries(files).select(*IMAGE, F.col("file_id").alias("file_id_b"))
-    return e.join(several, IMAGE).where("file_id_b <> file_id_a").select("file_id_a", "file_id_b").distinct()
+    e = entries(files).select(*IMAGE, F.col("file_id").alias("file_id_b")).dropna()
+    runs = e.repartitionByRange(*IMAGE).sortWithinPartitions(*IMAGE, "file_id_b")
+    w = Window.partitionBy(*IMAGE).orderBy("file_id_b")
+    first = F.first("file_id_b").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    s = runs.select(first.alias("file_id_a"), "file_id_b", F.lag("file_id_b").over(w).alias("__before"))
+    return s.where("file_id_b > file_id_a AND file_id_b <> __before").select("file_id_a", "file_id_b")
 
 
 def layout(files: DataFrame, target_bytes: int) -> DataFrame:
@@ -89,13 +96,15 @@ def consolidate(files: DataFrame, out_dir: str, target_bytes: int = 128 << 20) -
     Spark's commit protocol writes them, so a lost executor leaves no half file.
     The manifest has one row per file with its count, bytes and key range, read
     back from what was written. Entries without an identity are kept, too, in
-    out_file -1 of their key (or of key 'none').
+    out_file -1, -2, ... of their key (or of key 'none'), cut by bytes in order of file_id.
     """
     plan = layout(files, target_bytes).select(*IMAGE, "kept_file_id", "out_file")
     e = entries(files)
     named = e.alias("e").join(plan.alias("p"), (F.col("e.file_id") == F.col("p.kept_file_id")) & (F.col("e.image_key") == F.col("p.image_key")) & (F.col("e.episode_index") == F.col("p.episode_index")) & (F.col("e.frame_index") == F.col("p.frame_index"))).select("e.*", "p.out_file")
     named = named.dropDuplicates(["image_key", "episode_index", "frame_index"])
-    loose = e.where(F.col("image_key").isNull() | F.col("episode_index").isNull() | F.col("frame_index").isNull()).withColumn("image_key", F.coalesce("image_key", F.lit("none"))).withColumn("out_file", F.lit(-1))
+    loose = e.where(F.col("image_key").isNull() | F.col("episode_index").isNull() | F.col("frame_index").isNull()).withColumn("image_key", F.coalesce("image_key", F.lit("none"))).withColumn("__id", F.coalesce("file_id", F.lit(-1)))
+    loose = distributed_prefix_sum(loose, ["image_key"], F.shiftright("__id", LOOSE_BITS), ["__id", "path", "size"], "size", "__upto")
+    loose = loose.withColumn("out_file", (-1 - F.floor((F.col("__upto") - F.col("size")) / F.lit(target_bytes))).cast("int")).drop("__id", "__upto")
     rows = named.unionByName(loose)
     rows.repartitionByRange(F.col("image_key"), F.col("out_file")).sortWithinPartitions("image_key", "out_file", "episode_index", "frame_index").write.mode("overwrite").partitionBy("image_key", "out_file").parquet(out_dir)
     return manifest(rows.sparkSession.read.parquet(out_dir))

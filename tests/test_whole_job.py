@@ -7,6 +7,7 @@ import pyarrow as pa
 import pyarrow.parquet as pq
 
 import __spark_entry__ as entry
+from helmwake.operators.consolidate import consolidate
 from helmwake.sinks.files import png_bytes
 
 FRAMES = pa.schema([("scene", pa.string()), ("robot", pa.string()), ("episode_index", pa.int64()), ("frame_index", pa.int64()), ("timestamp", pa.float64()), ("task_index", pa.int64()), ("observation.state", pa.list_(pa.float32())), ("action", pa.list_(pa.float32()))])
@@ -119,3 +120,28 @@ def test_irregular_paths_have_parts_and_a_place(spark, tmp_path):
     parts = {r["file_id"]: r for r in run(spark, tmp_path, "X03_X04_X05_X06_S18_paths")}
     assert parts.keys() == paths.keys() and all(r["root"] == "ash-loft__01ab" and r["prefix"] == "ash" for r in parts.values())
     assert parts[2][2:] == ("ash-loft__01ab/videos/chunk-000/observation.images.rgb", "episode_000007_9_png", "ash", 9)
+
+
+def test_surplus_comes_from_merged_key_ranges(spark, tmp_path):
+    at = "s/videos/chunk-000/observation.images.{}/episode_{:06d}_{}.png"
+    rng = np.random.default_rng(4)
+    keys = [("rgb" if rng.random() < 0.5 else "depth", int(rng.integers(1, 6)), int(rng.integers(0, 9))) for _ in range(300)]
+    ids = [int(i) for i in rng.permutation(300)]
+    rows = [image(i, at.format(*k), rgb=b"x" if k[0] == "rgb" else None, depth=b"x" if k[0] == "depth" else None) for i, k in zip(ids, keys)]
+    files = rows + rows[:40] + [image(900, "odd name", rgb=b"x"), image(901, "odd name", rgb=b"x")]
+    by = {}
+    for i, k in zip(ids, keys):
+        by.setdefault(k, []).append(i)
+    got = [tuple(r) for r in run(spark, tmp_path, "p5_found", image_files=pa.Table.from_pylist(files, IMAGES))]
+    assert sorted(got) == sorted((min(x), i) for x in by.values() for i in x if i != min(x))
+    plan = entry.queries()["p5_found"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan and plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_entries_without_identity_are_cut_by_bytes(spark, tmp_path):
+    png = png_bytes(np.arange(48, dtype=np.uint8).reshape(4, 4, 3))
+    rows = [image(i if i else None, f"odd name {i}", rgb=png) for i in range(3000)] + [image(5000, "s/observation.images.depth/x.png", depth=png)]
+    pq.write_table(pa.Table.from_pylist(rows, IMAGES), tmp_path / "image_files.parquet")
+    man = consolidate(spark.read.parquet(str(tmp_path / "image_files.parquet")), str(tmp_path / "out"), 500 * len(png)).collect()
+    got = {(r["image_key"], r["out_file"]): r["n_images"] for r in man}
+    assert got == {("rgb", -1 - k): 500 for k in range(6)} | {("depth", -1): 1}
