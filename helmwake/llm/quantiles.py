@@ -195,12 +195,15 @@ def _batches(labels: pd.DataFrame, g: np.ndarray, x: np.ndarray, c: np.ndarray,
 
 
 def distinct_readings(frames: DataFrame) -> DataFrame:
-    """The frames without exact copies of one (episode_index, frame_index), as robot, scene, day, state, action."""
+    """The frames without exact copies of one (episode_index, frame_index), as robot, scene, day, state, action.
+
+    All rows of a robot, scene and day come to one task, so its day's digest is made there.
+    """
     state, action = (F.col(f"`{c}`").cast("array<float>") for c in FIELDS)
     x = frames.select("episode_index", "frame_index", "robot", "scene", F.date_format("recorded_at", "yyyy-MM-dd").alias("day"), state.alias("state"), action.alias("action"))
     # a digest of the content keeps frames apart that share a name but differ
-    x = x.withColumn("h", F.xxhash64("robot", "scene", "day", "state", "action"))
-    return x.dropDuplicates(["episode_index", "frame_index", "h"]).select("robot", "scene", "day", "state", "action")
+    x = x.withColumn("h", F.xxhash64("robot", "scene", "day", "state", "action")).repartition("robot", "scene", "day")
+    return x.dropDuplicates(["robot", "scene", "day", "episode_index", "frame_index", "h"]).select("robot", "scene", "day", "state", "action")
 
 
 def digests(readings: DataFrame, by_day: bool = True, epsilon: float = EPSILON) -> DataFrame:
@@ -269,14 +272,14 @@ def frame_percentiles(frames: DataFrame, qs: Sequence[float] = PERCENTILES, epsi
     """Percentiles of every dimension of state and action per robot and per scene, over all days.
 
     Columns: source_kind ('robot' or 'scene'), source, field_name, dim, q, value,
-    n, rank_error. The digests of scenes are merged from the tasks' digests, those
-    of robots from those of their scenes.
+    n, rank_error. Each day has digests of its own. The digests of scenes are
+    merged from those of their days, those of robots from those of their scenes.
     """
-    tasks = digests(distinct_readings(frames), by_day=False, epsilon=epsilon)
-    # a task gives one digest per key and the exchange before it has so many tasks at most
-    scenes = merge(tasks, ["robot", "scene", "field_name", "dim"], epsilon, int(frames.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    n_scenes = frames.agg(F.approx_count_distinct("scene", 0.02).alias("n")).first()["n"]
+    days = digests(distinct_readings(frames), by_day=True, epsilon=epsilon)
+    found = frames.agg(F.approx_count_distinct("scene", 0.02).alias("scenes"), F.approx_count_distinct(F.to_date("recorded_at"), 0.02).alias("days")).first()
+    # all readings of a robot, scene and day lie in one task, which gives one digest per key; the counts are approximate
+    scenes = merge(days, ["robot", "scene", "field_name", "dim"], epsilon, found["days"] + found["days"] // 10 + 1)
     keys = ["source_kind", "source", "field_name", "dim"]
     both = F.array(F.struct(F.lit("scene").alias("source_kind"), F.col("scene").alias("source")), F.struct(F.lit("robot").alias("source_kind"), F.col("robot").alias("source")))
     each = scenes.select("field_name", "dim", "n", "digest", F.inline(both))
-    return percentiles(merge(each, keys, epsilon, n_scenes), keys, qs, epsilon)
+    return percentiles(merge(each, keys, epsilon, found["scenes"]), keys, qs, epsilon)
