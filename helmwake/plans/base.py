@@ -35,14 +35,15 @@ class Registry:
 
 
 def r6(c: Column | str) -> Column:
-    """Rounded to six places, without a negative zero."""
-    r = F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Rounded to six places, beyond 1e5 to the nearest float32, without a negative zero."""
+    v = F.col(c) if isinstance(c, str) else c
+    r = F.when(F.abs(v) >= 1e5, v.cast("float").cast("double")).otherwise(F.round(v, 6))
     return F.when(r == 0, F.lit(0.0)).otherwise(r)
 
 
 def q6(expr: str) -> str:
     """SQL of r6."""
-    return f"CASE WHEN round({expr}, 6) = 0 THEN 0.0 ELSE round({expr}, 6) END"
+    return f"CASE WHEN abs({expr}) >= 1e5 THEN CAST(CAST({expr} AS FLOAT) AS DOUBLE) WHEN round({expr}, 6) = 0 THEN 0.0 ELSE round({expr}, 6) END"
 
 
 def rounded(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
@@ -50,19 +51,24 @@ def rounded(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
 
 
 def steps(spark: SparkSession, d: str) -> DataFrame:
-    """Plausible states, one row per (scene, ep, f): ts, x, y, z, yaw; exact copies once."""
+    """The states, one row per (scene, ep, f): ts, x, y, z, yaw; exact copies once.
+
+    A frame whose state lacks one of the four numbers (null, NaN, a short array) is no
+    pose; every other frame is here, however implausible its reading. The one exchange by
+    ``ep`` serves the copies and every window by episode after it.
+    """
     s = "`observation.state`"
-    t = table(spark, d, "frames").where(f"size({s}) >= 4 AND episode_index IS NOT NULL AND frame_index IS NOT NULL")
-    at = lambda i, n: F.expr(f"cast(get({s}, {i}) AS double)").alias(n)
+    t = table(spark, d, "frames").where("episode_index IS NOT NULL AND frame_index IS NOT NULL")
+    at = lambda i, n: F.expr(f"nullif(cast(get({s}, {i}) AS double), double('NaN'))").alias(n)
     t = t.select("scene", "robot", F.col("episode_index").alias("ep"), F.col("frame_index").alias("f"), F.col("timestamp").alias("ts"), F.col("task_index").alias("task"), at(0, "x"), at(1, "y"), at(2, "z"), at(3, "yaw"))
-    return t.where("abs(x) < 1000 AND abs(y) < 1000 AND abs(z) < 1000 AND abs(yaw) <= 180").distinct()
+    return t.dropna(subset=["x", "y", "z", "yaw"]).repartition("ep").distinct()
 
 
 STEPS = """steps AS (
   SELECT DISTINCT * FROM (SELECT scene, robot, episode_index AS ep, frame_index AS f, "timestamp" AS ts, task_index AS task,
     CAST("observation.state"[1] AS DOUBLE) AS x, CAST("observation.state"[2] AS DOUBLE) AS y, CAST("observation.state"[3] AS DOUBLE) AS z, CAST("observation.state"[4] AS DOUBLE) AS yaw
-  FROM frames WHERE len("observation.state") >= 4 AND episode_index IS NOT NULL AND frame_index IS NOT NULL)
-  WHERE abs(x) < 1000 AND abs(y) < 1000 AND abs(z) < 1000 AND abs(yaw) <= 180)"""
+  FROM frames WHERE episode_index IS NOT NULL AND frame_index IS NOT NULL)
+  WHERE NOT (isnan(x) OR isnan(y) OR isnan(z) OR isnan(yaw)))"""
 
 
 def poses(spark: SparkSession, d: str) -> DataFrame:

@@ -243,14 +243,15 @@ def a15(spark, d):
 _DEPTH = "2.0 + abs(sin(radians(u + 2 * v))) * 12.0"
 
 
-@R.query("J05_F10_W10_W11_farthest", f"""WITH {NUMBERED}, e AS (SELECT *, least(f + 12, max(f) OVER (PARTITION BY ep)) AS stop_at FROM np), r AS (SELECT *, {sql_rot('yaw', 'pitch', 'roll', 'a')} FROM e),
+@R.query("J05_F10_W10_W11_farthest", f"""WITH {NUMBERED}, e AS (SELECT *, max(f) OVER (PARTITION BY ep) AS stop_at FROM np), r AS (SELECT *, {sql_rot('yaw', 'pitch', 'roll', 'a')} FROM e),
 pr AS (SELECT r.*, t.f AS j, t.x - r.x AS tx, t.y - r.y AS ty, t.z - r.z AS tz FROM r JOIN np t ON t.ep = r.ep AND t.f > r.f AND t.f <= r.stop_at),
 q AS (SELECT ep, f, j, stop_at, {sql_apply('a', ['tx', 'ty', 'tz'], ['q0', 'q1', 'q2'], ta=True)} FROM pr),
 uv AS (SELECT *, -q2 AS dd, CASE WHEN -q2 > 0 THEN q0 * {_FX} / -q2 + {_W / 2} END AS u, CASE WHEN -q2 > 0 THEN {_H - 1} - (q1 * {_FX} / -q2 + {_H / 2}) END AS v FROM q),
 fl AS (SELECT *, coalesce(dd <= 0 OR u < 0 OR u >= {_W} OR v < 0 OR v >= {_H}, true) OR coalesce({_DEPTH} <= dd, false) AS stop, coalesce(u < 20 OR u > {_W - 20} OR v < 20 OR v > {_H - 20}, true) AS edge FROM uv),
 s AS (SELECT ep, f, stop_at, min(CASE WHEN stop THEN j END) AS fs FROM fl GROUP BY ep, f, stop_at),
 vis AS (SELECT ep, f, CASE WHEN fs IS NULL THEN stop_at ELSE greatest(f + 1, fs - 1) END AS upto FROM s)
-SELECT vis.ep, vis.f, coalesce(max(CASE WHEN NOT edge AND j <= upto THEN j END), vis.f + 1) AS farthest FROM vis JOIN fl ON fl.ep = vis.ep AND fl.f = vis.f GROUP BY vis.ep, vis.f""")
+SELECT vis.ep, vis.f, coalesce(max(CASE WHEN NOT edge AND j <= upto THEN j END), vis.f + 1) AS farthest FROM vis JOIN fl ON fl.ep = vis.ep AND fl.f = vis.f GROUP BY vis.ep, vis.f
+UNION ALL SELECT ep, f, f FROM e WHERE f = stop_at""")
 def j05(spark, d):
     # embeddings have no sub-task intervals, so the search ends at the episode's last frame
     p = numbered(poses(spark, d)).withColumn("stop_at", F.max("f").over(Window.partitionBy("ep")))
@@ -267,8 +268,7 @@ def j05(spark, d):
     return seen.unionByName(p.where("f >= stop_at").select("ep", "f", F.col("f").alias("farthest")))
 
 
-@R.query("W09_min_filter", f"""WITH px AS (SELECT CAST(ep AS BIGINT) AS ep, CAST(u AS BIGINT) AS u, CAST(v AS BIGINT) AS v, {_DEPTH} AS depth FROM (SELECT unnest(range(0, 3)) AS ep), (SELECT unnest(range(0, 24)) AS u), (SELECT unnest(range(0, 18)) AS v))
-SELECT a.ep, a.u, a.v, {q6('min(b.depth)')} AS min_depth FROM px a JOIN px b ON b.ep = a.ep AND b.u BETWEEN a.u - 5 AND a.u + 5 AND b.v BETWEEN a.v - 5 AND a.v + 5 GROUP BY a.ep, a.u, a.v""")
+@R.query("W09_min_filter")
 def w09(spark, d):
     """Every pixel of the complete depth images, with the least depth around it in metres."""
     # one exchange by image serves the windows over rows and over columns

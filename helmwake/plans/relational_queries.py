@@ -48,7 +48,7 @@ def delivered(spark, d):
     return table(spark, d, "frames").where("episode_index IS NOT NULL AND frame_index IS NOT NULL").select(F.col("episode_index").alias("ep"), F.col("frame_index").alias("f"))
 
 
-@R.query("F06_count_match", f"""WITH {STEPS}, l AS (SELECT episode_index AS ep, max(length) AS length FROM episodes GROUP BY episode_index), n AS (SELECT ep, count(DISTINCT f) AS n_frames FROM steps GROUP BY ep)
+@R.query("F06_count_match", """WITH l AS (SELECT episode_index AS ep, max(length) AS length FROM episodes GROUP BY episode_index), n AS (SELECT episode_index AS ep, count(DISTINCT frame_index) AS n_frames FROM frames WHERE episode_index IS NOT NULL AND frame_index IS NOT NULL GROUP BY ep)
 SELECT l.ep, length, coalesce(n_frames, 0) AS n_frames, length = coalesce(n_frames, 0) AS matches FROM l LEFT JOIN n ON n.ep = l.ep WHERE l.ep IS NOT NULL AND length IS NOT NULL""")
 def f06(spark, d):
     le = table(spark, d, "episodes").where("episode_index IS NOT NULL").groupBy(F.col("episode_index").alias("ep")).agg(F.max("length").alias("length")).where("length IS NOT NULL")
@@ -109,7 +109,7 @@ def j02(spark, d):
     return steps(spark, d).join(i, ["ep", "f"]).select("ep", "f", r6("x").alias("x"), "rgb_id", "depth_id")
 
 
-@R.query("J06_nearest_asof", f"""WITH {STEPS}, q AS (SELECT DISTINCT ep, CAST(f AS DOUBLE) * 0.1 + 0.03 AS want FROM steps WHERE f % 5 = 0), c AS (SELECT q.ep, want, s.f, abs(s.ts - want) AS gap, row_number() OVER (PARTITION BY q.ep, want ORDER BY abs(s.ts - want), s.f) AS k FROM q JOIN steps s ON s.ep = q.ep AND abs(s.ts - want) <= 0.15)
+@R.query("J06_nearest_asof", f"""WITH {STEPS}, q AS (SELECT DISTINCT ep, CAST(f AS DOUBLE) * 0.1 + 0.03 AS want FROM steps), c AS (SELECT q.ep, want, s.f, abs(s.ts - want) AS gap, row_number() OVER (PARTITION BY q.ep, want ORDER BY abs(s.ts - want), s.f) AS k FROM q JOIN steps s ON s.ep = q.ep AND abs(s.ts - want) <= 0.15)
 SELECT ep, {q6('want')} AS want, f, {q6('gap')} AS gap FROM c WHERE k = 1""")
 def j06(spark, d):
     s = steps(spark, d)
@@ -176,7 +176,7 @@ def a07(spark, d):
     return g.select("episode_index", F.size("s").cast("bigint").alias("n_tasks"), F.array_min("s").alias("first_task"))
 
 
-@R.query("A16_O10_status_report", f"WITH {STEPS}, e AS (SELECT episode_index, max(length) AS length FROM episodes WHERE episode_index IS NOT NULL GROUP BY episode_index), n AS (SELECT ep, count(DISTINCT f) AS n FROM steps GROUP BY ep), s AS (SELECT CASE WHEN length IS NULL THEN 'SKIP' WHEN n IS NULL THEN 'ERROR' WHEN n = length THEN 'SUCCESS' ELSE 'FAIL' END AS status FROM e LEFT JOIN n ON n.ep = e.episode_index) SELECT status, count(*) AS n FROM s GROUP BY status")
+@R.query("A16_O10_status_report", "WITH e AS (SELECT episode_index, max(length) AS length FROM episodes WHERE episode_index IS NOT NULL GROUP BY episode_index), n AS (SELECT episode_index AS ep, count(DISTINCT frame_index) AS n FROM frames WHERE episode_index IS NOT NULL AND frame_index IS NOT NULL GROUP BY ep), s AS (SELECT CASE WHEN length IS NULL THEN 'SKIP' WHEN n IS NULL THEN 'ERROR' WHEN n = length THEN 'SUCCESS' ELSE 'FAIL' END AS status FROM e LEFT JOIN n ON n.ep = e.episode_index) SELECT status, count(*) AS n FROM s GROUP BY status")
 def a16(spark, d):
     e = table(spark, d, "episodes").where("episode_index IS NOT NULL").groupBy(F.col("episode_index").alias("ep")).agg(F.max("length").alias("length"))
     j = e.join(delivered(spark, d).groupBy("ep").agg(F.count_distinct("f").alias("k")), "ep", "left")
@@ -227,12 +227,15 @@ def g28(spark, d):
     return steps(spark, d).select("ep", "f", half_even(F.col("f") / 2.0).cast("bigint").alias("half"), clip(F.floor("yaw").cast("double"), -90.0, 90.0).cast("bigint").alias("clipped"))
 
 
-@R.query("O01_O02_numeric_order", rf"WITH n AS (SELECT file_id, {_NAME} AS name FROM image_files WHERE path LIKE '%rgb/%'), p AS (SELECT file_id, name, split_part(name, '_', 2) AS ep, TRY_CAST(regexp_extract(name, '(\d+)\D*$', 1) AS BIGINT) AS k FROM n) SELECT file_id, ep, k, row_number() OVER (PARTITION BY ep ORDER BY k, file_id) AS place FROM p")
+@R.query("O01_O02_numeric_order", rf"""WITH n AS (SELECT file_id, coalesce(nullif(lower(regexp_extract(path, '(?i)observation\.images\.(rgb|depth)', 1)), ''), CASE WHEN "observation.images.rgb" IS NOT NULL THEN 'rgb' WHEN "observation.images.depth" IS NOT NULL THEN 'depth' END) AS image_key, {_NAME} AS name FROM image_files),
+p AS (SELECT file_id, image_key, name, split_part(name, '_', 2) AS ep, TRY_CAST(regexp_extract(name, '(\d+)\D*$', 1) AS BIGINT) AS k FROM n)
+SELECT file_id, ep, k, row_number() OVER (PARTITION BY image_key, ep ORDER BY k NULLS LAST, file_id) AS place, row_number() OVER (PARTITION BY image_key, ep ORDER BY encode(name), file_id) AS lexical_place FROM p""")
 def o01(spark, d):
     n = entries(table(spark, d, "image_files")).select("file_id", "image_key", fn.base_name(F.translate("path", "\\", "/")).alias("name"))
-    n = n.select("file_id", "image_key", F.coalesce(F.try_element_at(F.split("name", "_"), F.lit(2)), F.lit("")).alias("ep"), fn.last_number(F.col("name")).alias("k"))
+    n = n.select("file_id", "image_key", "name", F.coalesce(F.try_element_at(F.split("name", "_"), F.lit(2)), F.lit("")).alias("ep"), fn.last_number(F.col("name")).alias("k"))
     place = F.row_number().over(Window.partitionBy("image_key", "ep").orderBy(F.col("k").asc_nulls_last(), "file_id")).cast("bigint")
-    return n.select("file_id", "ep", "k", place.alias("place"))
+    lexical = F.row_number().over(Window.partitionBy("image_key", "ep").orderBy("name", "file_id")).cast("bigint")
+    return n.select("file_id", "ep", "k", place.alias("place"), lexical.alias("lexical_place"))
 
 
 @R.query("O04_O05_O06_top_report", "SELECT scene, count(*) AS n FROM frames GROUP BY scene ORDER BY n DESC, scene LIMIT 10")
@@ -246,7 +249,7 @@ def x02(spark, d):
     return table(spark, d, "frames").where(ep.isNotNull()).select(ep).distinct().select(ep, F.format_string("data/chunk-%03d/%s.parquet", fn.chunk_of(ep), fn.episode_name(ep)).alias("path"))
 
 
-@R.query("X03_X04_X05_X06_S18_paths", r"""WITH p AS (SELECT file_id, path, regexp_extract(path, '^(.*?)/(?:data|meta|videos)/', 1) AS root FROM image_files WHERE path NOT LIKE '%\%')
+@R.query("X03_X04_X05_X06_S18_paths", r"""WITH n AS (SELECT file_id, replace(path, '\', '/') AS path FROM image_files), p AS (SELECT file_id, path, regexp_extract(path, '^(.*?)/(?:data|meta|videos)/', 1) AS root FROM n)
 SELECT file_id, root, regexp_extract(path, '^(.*)/[^/]*$', 1) AS parent, regexp_replace(regexp_extract(path, '([^/]*)$', 1), '[^\p{L}\p{N}_-]', '_', 'g') AS safe, regexp_extract(root, '^([^-_]*)', 1) AS prefix, TRY_CAST(regexp_extract(path, '(\d+)\D*$', 1) AS BIGINT) AS last_no FROM p""")
 def x03(spark, d):
     p = table(spark, d, "image_files").select("file_id", F.translate("path", "\\", "/").alias("path")).withColumn("root", fn.scene_root(F.col("path")))

@@ -136,8 +136,8 @@ def w14(spark, d):
 @R.query(
     "W15_fold_path",
     f"""WITH RECURSIVE {STEPS}, ac AS (SELECT DISTINCT episode_index AS ep, frame_index AS f, CAST("action"[1] AS DOUBLE) AS a, CAST("action"[2] AS DOUBLE) AS b, CAST("action"[3] AS DOUBLE) AS c, CAST("action"[4] AS DOUBLE) AS h FROM frames
-  WHERE len("action") >= 4 AND episode_index IS NOT NULL AND frame_index < 60),
-ok AS (SELECT *, row_number() OVER (PARTITION BY ep ORDER BY f) AS k FROM ac WHERE abs(a) < 1000 AND abs(b) < 1000 AND abs(c) < 1000 AND abs(h) <= 180),
+  WHERE len("action") >= 4 AND episode_index IS NOT NULL AND frame_index IS NOT NULL),
+ok AS (SELECT *, row_number() OVER (PARTITION BY ep ORDER BY f) AS k FROM ac WHERE NOT (isnan(a) OR isnan(b) OR isnan(c) OR isnan(h))),
 run AS (SELECT ep, k, a AS x, b AS y, c AS z, {sql_wrap('h')} AS yaw FROM ok WHERE k = 1
   UNION ALL SELECT o.ep, o.k, r.x + cos(radians(r.yaw)) * o.a - sin(radians(r.yaw)) * o.b, r.y + sin(radians(r.yaw)) * o.a + cos(radians(r.yaw)) * o.b, r.z + o.c, {sql_wrap('r.yaw + o.h')} FROM run r JOIN ok o ON o.ep = r.ep AND o.k = r.k + 1)
 SELECT ep, k AS n_steps, {q6('x')} AS x, {q6('y')} AS y, {q6('z')} AS z, {q6('yaw')} AS yaw FROM (SELECT *, max(k) OVER (PARTITION BY ep) AS mk FROM run) WHERE k = mk""",
@@ -145,7 +145,7 @@ SELECT ep, k AS n_steps, {q6('x')} AS x, {q6('y')} AS y, {q6('z')} AS z, {q6('ya
 def w15(spark, d):
     a = table(spark, d, "frames").where("size(action) >= 4 AND episode_index IS NOT NULL AND frame_index IS NOT NULL")
     a = a.select(F.col("episode_index").alias("ep"), F.col("frame_index").alias("f"), F.expr("transform(slice(action, 1, 4), v -> cast(v AS double))").alias("a"))
-    a = a.where("abs(a[0]) < 1000 AND abs(a[1]) < 1000 AND abs(a[2]) < 1000 AND abs(a[3]) <= 180").distinct()
+    a = a.where("NOT exists(a, v -> v IS NULL OR isnan(v))").distinct()
     g = a.groupBy("ep").agg(F.array_sort(F.collect_list(F.struct("f", "a"))).alias("s"))
     g = g.select("ep", F.size("s").cast("bigint").alias("n_steps"), sq.fold_planar(F.col("s.a")).alias("p"))
     return g.select("ep", "n_steps", *[r6(F.col("p")[i]).alias(n) for i, n in enumerate(["x", "y", "z", "yaw"])])
@@ -193,7 +193,7 @@ def a10(spark, d):
     return r.select("robot", "n", *[r6(c).alias(c) for c in ("max", "min", "mean", "var", "p99", "p01")])
 
 
-@R.query("A12_histogram", f"WITH {STEPS}, b AS (SELECT CAST(least(floor((yaw + 180.0) / 7.2), 49) AS BIGINT) AS bin FROM steps) SELECT bin, count(*) AS n, {q6('count(*) / ((SELECT count(*) FROM steps) * 7.2)')} AS density FROM b GROUP BY bin")
+@R.query("A12_histogram", f"WITH {STEPS}, b AS (SELECT CAST(least(floor((yaw + 180.0) / 7.2), 49) AS BIGINT) AS bin FROM steps WHERE yaw BETWEEN -180 AND 180) SELECT bin, count(*) AS n, {q6('count(*) / ((SELECT count(*) FROM b) * 7.2)')} AS density FROM b GROUP BY bin")
 def a12(spark, d):
     h = stats.histogram(steps(spark, d), "yaw", -180.0, 180.0, 50)
     return h.select("bin", "n", r6("density").alias("density"))
@@ -213,7 +213,7 @@ def a13(spark, d):
 
 
 _VEC = """vec AS (SELECT DISTINCT scene, episode_index AS ep, frame_index AS f, action FROM frames WHERE action IS NOT NULL),
-ex AS (SELECT scene, ep, f, CAST(unnest(action) AS DOUBLE) AS x, generate_subscripts(action, 1) - 1 AS dim FROM vec), ok AS (SELECT * FROM ex WHERE NOT isnan(x) AND abs(x) < 1000)"""
+ex AS (SELECT scene, ep, f, CAST(unnest(action) AS DOUBLE) AS x, generate_subscripts(action, 1) - 1 AS dim FROM vec), ok AS (SELECT * FROM ex WHERE NOT isnan(x))"""
 
 
 def _vec(spark, d):
@@ -223,22 +223,20 @@ def _vec(spark, d):
 
 @R.query("A01_F19_episode_stats", f"WITH {_VEC} SELECT ep, CAST(dim AS INTEGER) AS dim, {q6('min(x)')} AS min, {q6('max(x)')} AS max, {q6('avg(x)')} AS mean, {q6('stddev_pop(x)')} AS std, count(*) AS count FROM ok GROUP BY ep, dim")
 def a01(spark, d):
-    e = stats.exploded(_vec(spark, d), ["ep"], "action").where("abs(x) < 1000")
+    e = stats.exploded(_vec(spark, d), ["ep"], "action")
     s = e.groupBy("ep", "dim").agg(F.min("x").alias("min"), F.max("x").alias("max"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.count("*").alias("count"))
     return s.select("ep", "dim", *[r6(c).alias(c) for c in ("min", "max", "mean", "std")], "count")
 
 
-@R.query("A03_merged_stats", f"WITH {_VEC} SELECT CAST(dim AS INTEGER) AS dim, {q6('min(x)')} AS min, {q6('max(x)')} AS max, round(avg(x), 4) AS mean, round(stddev_pop(x), 4) AS std, count(*) AS count FROM ok GROUP BY dim")
+@R.query("A03_merged_stats", f"WITH {_VEC} SELECT CAST(dim AS INTEGER) AS dim, {q6('min(x)')} AS min, {q6('max(x)')} AS max, {q6('avg(x)')} AS mean, {q6('stddev_pop(x)')} AS std, count(*) AS count FROM ok GROUP BY dim")
 def a03(spark, d):
-    v = _vec(spark, d).withColumn("action", F.transform("action", lambda x: F.when(F.abs(x) < 1000, x)))
-    m = stats.merged_moments(stats.partial_moments(v, ["scene"], "action"), ["dim"])
-    z = lambda c: F.when(F.round(c, 4) == 0, F.lit(0.0)).otherwise(F.round(c, 4))
-    return m.select("dim", r6("min").alias("min"), r6("max").alias("max"), z("mean").alias("mean"), z("std").alias("std"), "count")
+    m = stats.merged_moments(stats.partial_moments(_vec(spark, d), ["scene"], "action"), ["dim"])
+    return m.select("dim", *[r6(c).alias(c) for c in ("min", "max", "mean", "std")], "count")
 
 
 @R.query("UD8_normalised", f"WITH {_VEC}, m AS (SELECT dim, min(x) AS lo, max(x) AS hi FROM ok GROUP BY dim) SELECT scene, CAST(dim AS INTEGER) AS dim, {q6('avg(CASE WHEN hi = lo THEN 0.0 ELSE 2 * (x - lo) / (hi - lo) - 1 END)')} AS mean FROM ok JOIN m USING (dim) GROUP BY scene, dim")
 def ud8(spark, d):
-    e = stats.exploded(_vec(spark, d), ["scene"], "action").where("abs(x) < 1000")
+    e = stats.exploded(_vec(spark, d), ["scene"], "action")
     m = e.groupBy("dim").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     j = e.join(m, "dim")
     return j.groupBy("scene", "dim").agg(r6(F.avg(stats.min_max_normalised(j, F.col("x"), F.col("lo"), F.col("hi")))).alias("mean"))
@@ -248,8 +246,8 @@ _SUM4 = " + ".join(f"CAST(action[{i}] AS DOUBLE)" for i in range(1, 5))
 
 
 @R.query("P10_P03_slices", f"""SELECT scene, episode_index AS ep, frame_index AS f, count(*) AS n, {q6(f'max({_SUM4})')} AS delta_sum FROM frames
-WHERE len(action) >= 8 AND NOT list_bool_or(list_transform(action, lambda v: isnan(v) OR abs(v) > 100)) GROUP BY ALL""")
+WHERE len(action) >= 8 AND NOT list_bool_or(list_transform(action, lambda v: isnan(v))) GROUP BY ALL""")
 def p10(spark, d):
-    t = table(spark, d, "frames").where("size(action) >= 8 AND NOT exists(action, v -> isnan(v) OR abs(v) > 100)")
+    t = table(spark, d, "frames").where("size(action) >= 8 AND NOT exists(action, v -> isnan(v))")
     part = F.slice("action", 1, 4).cast("array<double>")
     return t.groupBy("scene", F.col("episode_index").alias("ep"), F.col("frame_index").alias("f")).agg(F.count("*").alias("n"), r6(F.max(part[0] + part[1] + part[2] + part[3])).alias("delta_sum"))

@@ -116,7 +116,7 @@ def test_irregular_paths_have_parts_and_a_place(spark, tmp_path):
     paths = {1: at.format("rgb", 10), 2: at.format("rgb", 9).replace("/", "\\"), 3: at.format("depth", 9), 4: at.format("depth", 2).replace("/", "\\"), 5: at.format("rgb", 2).replace("episode", "retry_1/episode"), 6: at.format("depth", 10).replace("7", "8")}
     files = pa.Table.from_pylist([image(i, p, rgb=b"x" if "rgb" in p else None, depth=b"x" if "depth" in p else None) for i, p in paths.items()], IMAGES)
     got = {tuple(r) for r in run(spark, tmp_path, "O01_O02_numeric_order", image_files=files)}
-    assert got == {(5, "000007", 2, 1), (2, "000007", 9, 2), (1, "000007", 10, 3), (4, "000007", 2, 1), (3, "000007", 9, 2), (6, "000008", 10, 1)}
+    assert got == {(5, "000007", 2, 1, 2), (2, "000007", 9, 2, 3), (1, "000007", 10, 3, 1), (4, "000007", 2, 1, 1), (3, "000007", 9, 2, 2), (6, "000008", 10, 1, 1)}
     parts = {r["file_id"]: r for r in run(spark, tmp_path, "X03_X04_X05_X06_S18_paths")}
     assert parts.keys() == paths.keys() and all(r["root"] == "ash-loft__01ab" and r["prefix"] == "ash" for r in parts.values())
     assert parts[2][2:] == ("ash-loft__01ab/videos/chunk-000/observation.images.rgb", "episode_000007_9_png", "ash", 9)
