@@ -83,6 +83,63 @@ def test_blocks_of_a_long_episode(spark):
     assert got == {(1, f, S, 0) for f in range(edge - 3, edge + 5)} | {(1, edge + 50, S, 0)}
 
 
+def test_stuck_runs_over_several_blocks(spark):
+    """Readings usually stand for 45 frames here: a run over a border counts with both its parts, each too short alone."""
+    edge, rng = 1 << 16, np.random.default_rng(5)
+    x = np.repeat(np.cumsum(rng.normal(0, 0.1, 3200)), 45)
+    x[edge - 130 : edge + 106] = 77.0 - np.abs(x).max()
+    x[edge + 9000 : edge + 9100] = x[edge + 9000]  # too short
+    lo, hi = edge - 130, edge + 106
+    rows = [("s", "r", 1, i, [float(x[i])], None) for i in range(edge - 40_000, 2 * edge + 2000)]
+    got = {r["frame_index"] for r in flag_spikes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == set(range(lo + 1, hi))
+
+
+def test_whole_blocks_of_one_value(spark):
+    edge, rng = 1 << 16, np.random.default_rng(6)
+    x = np.cumsum(rng.normal(0, 0.1, 3 * edge + 900))
+    x[edge - 100 : 3 * edge + 200] = x[edge - 100]  # two blocks hold nothing else
+    rows = [("s", "r", 1, i, [float(x[i])], None) for i in range(edge - 3000, len(x), 7)]
+    got = {r["frame_index"] for r in flag_spikes(spark.createDataFrame(rows, SCHEMA)).collect()}
+    held = [r[3] for r in rows if edge - 100 <= r[3] < 3 * edge + 200]
+    assert got == set(held[1:])
+
+
+def test_the_ellipsoids_decide():
+    """Without the ellipsoid other readings are flagged; with axes that are longer, fewer."""
+    from helmwake.operators import spikes
+
+    rng = np.random.default_rng(2)
+    v = np.cumsum(rng.normal(0, 0.1, 4000))
+    for at in range(50, 3950, 100):
+        v[at] += rng.choice([-1, 1]) * rng.uniform(0.2, 6)
+    g, t = np.zeros(4000, int), np.arange(4000)
+    prof = np.array([0.0, 60.0, 1.2, 2.0, 0.3, 1e3, np.inf])
+    kept = spikes._flag(g, t, v, prof, None)[0]
+    off, plain = spikes.outside, spikes.outside
+    try:
+        spikes.outside = lambda u, d, s, prof, wide: np.ones(len(u), bool)
+        off = spikes._flag(g, t, v, prof, None)[0]
+        spikes.outside = lambda u, d, s, prof, wide: plain(u, d, s, prof * [1, 1, 3, 3, 1, 1, 1], wide)
+        long = spikes._flag(g, t, v, prof, None)[0]
+    finally:
+        spikes.outside = plain
+    assert 0 < long.sum() < kept.sum() < off.sum() and off.sum() > 1000
+
+
+def test_axes_are_taken_again_without_the_spikes(spark):
+    """A source whose great spikes hide small ones until the axes are taken anew."""
+    rows = episodes(40, seed=9)
+    hit = set()
+    for i, r in enumerate(rows):
+        if i % 50 == 25 and 2 < r[3] < 77:
+            r[5][1] += 50.0 if i % 100 == 25 else 4.0
+            hit.add((r[2], r[3], A, 1))
+    df = spark.createDataFrame([tuple(r) for r in rows], SCHEMA)
+    once, again = ({tuple(x) for x in flag_spikes(df, n).collect()} for n in (0, 1))
+    assert 0 < len(once) < len(again) and once < again == hit
+
+
 def test_clashing_columns(spark, data, clashing):
     t = table(spark, data, "frames")
     want = {tuple(r) for r in flag_spikes(t).collect()}
