@@ -1,10 +1,12 @@
 """Schemas that drift between the files of a stream.
 
-The footer of a raw file is what its lines hold: field names and JSON kinds. The
-catalogue explodes them to one row per (stream, file, field, kind). Files get
-their ordinal in the stream; a run of files that hold a field with one kind is a
-lifespan, and its start and end are the changes. Removed and added fields that
-carry the same quantity, after the alias table, are one renaming.
+The footer of a raw file is what its lines hold: field names and JSON kinds, and
+of the values their shape and range. The catalogue explodes them to one row per
+(stream, file, field, kind). Files get their ordinal in the stream; a run of files
+that hold a field with one kind is a lifespan. The changes are the starts and ends
+of the lifespans: an end and a start of one field are a change of kind, those of
+two fields that carry the same quantity, after the alias table or by shape and
+range, one renaming.
 """
 
 from __future__ import annotations
@@ -76,40 +78,77 @@ def files(lines: DataFrame) -> DataFrame:
     return distributed_prefix_sum(f, ["stream"], hour, ["recorded_at", "file_id"], "one", "ord").drop("one")
 
 
+#: What tells the quantity behind an unknown name: shape, largest magnitude, and whether any number is negative.
+LOOKS = ["shape", "top", "negative"]
+#: Ranges of one quantity differ by less than this factor.
+RANGE_FACTOR = 4.0
+
+
+def _looks(value: str, kind: Column) -> list[Column]:
+    """LOOKS of a variant column: list lengths per level, or the kind and members; magnitudes of its numbers."""
+    get = lambda t: F.expr(f"try_variant_get({value}, '$', '{t}')")
+    numbers = F.coalesce(get("array<double>"), F.flatten(get("array<array<double>>")), F.array(get("double")))
+    outer = F.size(get("array<variant>"))
+    inner = F.size(F.expr(f"try_variant_get({value}, '$[0]', 'array<variant>')"))
+    shape = F.concat_ws(" ", kind, outer, inner, F.when(kind == "object", F.schema_of_variant(F.col(value))))
+    return [shape.alias("shape"), F.array_max(F.transform(numbers, F.abs)).alias("top"), F.coalesce(F.array_min(numbers) < 0, F.lit(False)).alias("negative")]
+
+
 def catalogue(lines: DataFrame) -> DataFrame:
-    """(stream, file_id, field, kind, commas): what each file holds.
+    """(stream, file_id, field, kind, *LOOKS): what each file holds.
 
     A field belongs to a file when any readable line has it and not null. Where a
     file has a field in several kinds, the most frequent counts, at a tie the
-    last by name; an empty list counts only where nothing else is. ``commas``
-    (the most in any value's text) tells shapes of unknown fields apart.
+    last by name; an empty list counts only where nothing else is.
     """
-    e = line_fields(lines).select("stream", "file_id", "field", json_kind(F.schema_of_variant("value")).alias("kind"), F.expr("regexp_count(cast(value AS string), ',')").alias("commas"))
-    n = e.groupBy("stream", "file_id", "field", "kind").agg(F.count("*").alias("n"), F.max("commas").alias("commas"))
+    kind = json_kind(F.schema_of_variant("value"))
+    e = line_fields(lines).select("stream", "file_id", "field", kind.alias("kind"), *_looks("value", kind))
+    n = e.groupBy("stream", "file_id", "field", "kind").agg(F.count("*").alias("n"), F.max("shape").alias("shape"), F.max("top").alias("top"), F.bool_or("negative").alias("negative"))
     rank = F.struct(F.col("kind") != "empty list", "n", "kind")
-    return n.groupBy("stream", "file_id", "field").agg(F.max_by("kind", rank).alias("kind"), F.max("commas").alias("commas"))
+    best = n.groupBy("stream", "file_id", "field").agg(F.max_by(F.struct("kind", *LOOKS), rank).alias("b"))
+    return best.select("stream", "file_id", "field", "b.*")
+
+
+def _spans(lines: DataFrame, order: DataFrame) -> DataFrame:
+    """Lifespans with LOOKS at either end: stream, field, kind, first_ord, last_ord, first, last.
+
+    Islands by the lag to the file before and after: every file's entry is counted
+    once for itself and once for the ordinals beside it, an aggregation and not a scan
+    of the stream in order. Only the islands' edges are put in order: the k-th start
+    of a (stream, field, kind) belongs to its k-th end.
+    """
+    held = join_null_safe(catalogue(lines), order.select("stream", "file_id", "ord"), ["stream", "file_id"])
+    look = F.struct(*LOOKS)
+    none = F.lit(None).cast("struct<shape:string,top:double,negative:boolean>")
+    mark = lambda by, here, before, after: F.struct((F.col("ord") + by).alias("ord"), here.alias("here"), F.lit(before).alias("before"), F.lit(after).alias("after"))
+    marks = F.array(mark(0, look, False, False), mark(1, none, True, False), mark(-1, none, False, True))
+    m = held.select("stream", "field", "kind", F.inline(marks)).groupBy("stream", "field", "kind", "ord").agg(F.max("here").alias("here"), F.bool_or("before").alias("before"), F.bool_or("after").alias("after"))
+    edge = m.where("here IS NOT NULL AND NOT (before AND after)")
+    w = Window.partitionBy("stream", "field", "kind").orderBy("ord")
+    k = edge.select("*", F.lead(F.struct("ord", "here")).over(w).alias("next")).where("NOT before")
+    alone = ~F.col("after")
+    return k.select("stream", "field", "kind", F.col("ord").alias("first_ord"), F.when(alone, F.col("ord")).otherwise(F.col("next.ord")).alias("last_ord"), F.col("here").alias("first"), F.when(alone, F.col("here")).otherwise(F.col("next.here")).alias("last"))
+
+
+def lifespans(lines: DataFrame) -> DataFrame:
+    """Runs of successive files that hold a field in one kind: stream, field, kind, first_ord, last_ord."""
+    return _spans(lines, files(lines)).drop("first", "last")
 
 
 def events(lines: DataFrame) -> DataFrame:
-    """Starts, ends and changes of kind of every field, against the file before: one row each.
+    """Starts, ends and changes of kind of every field, against the file before: stream, ord, file_id, field, was, now.
 
-    The shift by one file is an aggregation by (stream, ordinal), not a scan of the
-    stream in order: every file's entries are counted once for itself and once
-    for the next ordinal. Columns: stream, ord, file_id, field, was, now, commas.
+    ``was`` and ``now`` are structs of kind and LOOKS, or null. A stream's first file
+    starts nothing, and after its last one nothing ends.
     """
     order = files(lines)
-    held = join_null_safe(catalogue(lines), order.select("stream", "file_id", "ord"), ["stream", "file_id"])
-    entry = F.struct("kind", "commas")
-    none = F.lit(None).cast("struct<kind:string,commas:int>")
-    both = F.array(F.struct("ord", entry.alias("now"), none.alias("was")), F.struct((F.col("ord") + 1).alias("ord"), none.alias("now"), entry.alias("was")))
-    # one exchange by (stream, ord) serves this aggregation and those of ``changes``
-    shifted = held.select("stream", "field", F.inline(both)).repartition("stream", "ord")
-    pair = shifted.groupBy("stream", "ord", "field").agg(F.max("was").alias("was"), F.max("now").alias("now"))
-    changed = pair.where("ord > 1 AND NOT (was.kind <=> now.kind)")
-    # the ordinal after a stream's last file has no file: nothing ended there
-    return changed.join(order.select("stream", "ord", "file_id"), ["stream", "ord"]).select(
-        "stream", "ord", "file_id", "field", F.col("was.kind").alias("was"), F.col("now.kind").alias("now"), F.coalesce("now.commas", "was.commas").alias("commas")
-    )
+    look = lambda at: F.struct("kind", *[F.col(at)[c].alias(c) for c in LOOKS])
+    none = F.lit(None).cast("struct<kind:string,shape:string,top:double,negative:boolean>")
+    both = F.array(F.struct(F.col("first_ord").alias("ord"), look("first").alias("now"), none.alias("was")), F.struct((F.col("last_ord") + 1).alias("ord"), none.alias("now"), look("last").alias("was")))
+    # one exchange by (stream, ord) serves this aggregation, the join and those of ``changes``
+    ends = _spans(lines, order).select("stream", "field", F.inline(both)).where("ord > 1").repartition("stream", "ord")
+    pair = ends.groupBy("stream", "ord", "field").agg(F.max("was").alias("was"), F.max("now").alias("now"))
+    return pair.join(order.select("stream", "ord", "file_id"), ["stream", "ord"]).select("stream", "ord", "file_id", "field", "was", "now")
 
 
 def _paired(rows: DataFrame, by: str) -> DataFrame:
@@ -127,21 +166,24 @@ def changes(lines: DataFrame, aliases: dict[str, tuple[str, ...]] = ALIASES) ->
     'added' has an empty old_field, 'removed' an empty new_field; 'retyped' has
     the name in both. A field that ends where another of the same quantity starts
     is 'renamed'. A name outside the alias table counts as the same quantity when
-    it ends or starts beside a field whose values have as many parts. Without any
-    readable line a file holds no field; a stream's first file changes nothing.
+    it ends or starts beside a field of the same shape whose numbers have the same
+    range: magnitudes within RANGE_FACTOR, negative numbers in both or neither. Without
+    any readable line a file holds no field; a stream's first file changes nothing.
     """
     names = [n for ns in aliases.values() for n in ns]
-    f = F.struct("field", "commas", F.col("field").isin(names).alias("known"))
+    f = lambda at: F.struct("field", *[F.col(at)[c].alias(c) for c in LOOKS], F.col("field").isin(names).alias("known"))
     retyped = F.col("was").isNotNull() & F.col("now").isNotNull()
     q = F.when(retyped, F.concat(F.lit("="), F.col("field"))).otherwise(quantity(F.col("field"), aliases))
-    ev = events(lines).select("stream", "ord", "file_id", q.alias("q"), F.when(F.col("was").isNotNull(), f).alias("gone"), F.when(F.col("now").isNotNull(), f).alias("new"))
+    ev = events(lines).select("stream", "ord", "file_id", q.alias("q"), F.when(F.col("was").isNotNull(), f("was")).alias("gone"), F.when(F.col("now").isNotNull(), f("now")).alias("new"))
     p = _paired(ev, "q")
-    # second round: what stayed single, by shape; only where a name is unknown
+    # second round: what stayed single, by looks; only where a name is unknown
     one = F.coalesce("gone", "new")
     done = F.col("gone").isNotNull() & F.col("new").isNotNull()
-    shape = F.when(done, F.concat(F.lit("done "), F.col("gone.field"))).when(one["commas"] > 0, F.concat(F.lit("shape "), one["commas"].cast("string"))).otherwise(F.concat(F.lit("="), one["field"]))
-    p = _paired(p.withColumn("shape", shape), "shape")
-    same = done & (F.col("shape").startswith("done") | ~(F.col("gone.known") & F.col("new.known")))
+    alike = F.when(done, F.concat(F.lit("done "), F.col("gone.field"))).otherwise(F.concat_ws(" ", F.lit("looks"), one["shape"], one["negative"].cast("string")))
+    p = _paired(p.withColumn("looks", alike), "looks")
+    old_top, new_top = F.col("gone.top"), F.col("new.top")
+    near = F.coalesce((F.greatest(old_top, new_top) <= RANGE_FACTOR * F.least(old_top, new_top)), old_top.isNull() & new_top.isNull())
+    same = done & (F.col("looks").startswith("done") | (near & ~(F.col("gone.known") & F.col("new.known"))))
     change = lambda kind, old, new: F.struct(F.lit(kind).alias("change_kind"), old.alias("old_field"), new.alias("new_field"))
     old, new, empty = F.col("gone.field"), F.col("new.field"), F.lit("")
     out = (
@@ -154,27 +196,11 @@ def changes(lines: DataFrame, aliases: dict[str, tuple[str, ...]] = ALIASES) ->
     return p.select("file_id", F.inline(out)).distinct()
 
 
-def lifespans(lines: DataFrame) -> DataFrame:
-    """Runs of successive files that hold a field in one kind: stream, field, kind, first_ord, last_ord.
-
-    The k-th start of a (stream, field, kind) belongs to its k-th end, so only
-    the changes are put in order, not the files.
-    """
-    order = files(lines)
-    held = join_null_safe(catalogue(lines), order.select("stream", "file_id", "ord"), ["stream", "file_id"])
-    marks = F.array(F.struct("ord", F.lit(1).alias("here"), F.lit(0).alias("before"), F.lit(0).alias("after")), F.struct((F.col("ord") + 1).alias("ord"), F.lit(0).alias("here"), F.lit(1).alias("before"), F.lit(0).alias("after")), F.struct((F.col("ord") - 1).alias("ord"), F.lit(0).alias("here"), F.lit(0).alias("before"), F.lit(1).alias("after")))
-    m = held.select("stream", "field", "kind", F.inline(marks)).groupBy("stream", "field", "kind", "ord").agg(F.max("here").alias("here"), F.max("before").alias("before"), F.max("after").alias("after"))
-    edge = m.where("here = 1 AND (before = 0 OR after = 0)")
-    w = Window.partitionBy("stream", "field", "kind").orderBy("ord")
-    k = edge.withColumn("next", F.lead("ord").over(w))
-    return k.where("before = 0").select("stream", "field", "kind", F.col("ord").alias("first_ord"), F.when(F.col("after") == 0, F.col("ord")).otherwise(F.col("next")).alias("last_ord"))
-
-
 def _numbers(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"(-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?)"), F.lit(1)).cast("array<double>")
 
 
-def _as_target(target: str, field: Column, kind: Column, value: str) -> Column:
+def _as_target(target: str, kind: Column, value: str) -> Column:
     """The cast of one value to the target column, by its JSON kind."""
     text = F.expr(f"cast({value} AS string)")
     if TARGET[target] != "array<double>":
@@ -198,19 +224,14 @@ def consistent_table(lines: DataFrame, aliases: dict[str, tuple[str, ...]] = ALI
 
     Fields go to the column of their quantity and are cast to its type: texts and
     nested lists to flat lists of numbers, objects to the matrix they stand for.
-    Fields outside the alias table stay in ``other`` (map of JSON texts). A line
+    Fields outside the alias table stay in ``other`` (map of JSON texts). Of several
+    names of one quantity in a line the first of the alias table counts. A line
     delivered twice comes out once.
     """
     r = readable(lines).withColumn("m", F.map_filter(F.col("v").cast("map<string,variant>"), lambda k, x: ~F.is_variant_null(x)))
-    cols = []
-    for q, ns in aliases.items():
-        if q not in TARGET:
-            continue
-        options = []
-        for n in ns:
-            value = f"element_at(m, '{n}')"
-            options.append(_as_target(q, F.lit(n), json_kind(F.expr(f"schema_of_variant({value})")), value))
-        cols.append(F.coalesce(*options).alias(q))
+    qs = [q for q in aliases if q in TARGET]
+    r = r.select("*", *[F.coalesce(*[F.element_at("m", F.lit(n)) for n in aliases[q]]).alias(f"__v{i}") for i, q in enumerate(qs)])
+    cols = [_as_target(q, json_kind(F.schema_of_variant(f"__v{i}")), f"__v{i}").alias(q) for i, q in enumerate(qs)]
     known = [n for q, ns in aliases.items() if q in TARGET for n in ns]
     other = F.transform_values(F.map_filter("m", lambda k, x: ~k.isin(known)), lambda k, x: F.to_json(x))
     out = r.select("stream", "file_id", "line_no", "recorded_at", *cols, other.alias("other"))

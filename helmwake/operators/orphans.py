@@ -14,10 +14,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bound of the broadcast filter: 2**18 words of 8 bytes.
-MAX_WORDS = 1 << 18
-#: Keys per word that keep the share of false positives at a few per cent.
-KEYS_PER_WORD = 6
+#: Bound of the broadcast filter: 2**21 words of 8 bytes, which suit some 12 million parents. Only words that hold a bit are rows of it.
+MAX_WORDS = 1 << 21
 
 
 def _slot(key: str, words: int) -> tuple[Column, Column]:
@@ -32,14 +30,6 @@ def bloom_words(parents: DataFrame, key: str, words: int) -> DataFrame:
     return parents.where(F.col(f"`{key}`").isNotNull()).select(w.alias("w"), bits.alias("b")).groupBy("w").agg(F.bit_or("b").alias("bits"))
 
 
-def filter_words(n_parents: int) -> int:
-    """A power of two between 1,024 and MAX_WORDS that suits the number of parent rows."""
-    n = 1024
-    while n < MAX_WORDS and n * KEYS_PER_WORD < n_parents:
-        n *= 2
-    return n
-
-
 def orphan_keys(refs: DataFrame, parents: DataFrame, ref_key: str = "ref_key", parent_key: str = "key", words: int = MAX_WORDS) -> DataFrame:
     """The rows of ``refs`` whose key is not among the parents' keys.
 
@@ -86,7 +76,7 @@ def orphans(frames: DataFrame, documents: DataFrame, episodes: DataFrame, tasks:
     of_frames = frame_references(frames)
     refs_e = of_frames.where("ref_column = 'episode_index'").unionByName(document_references(documents))
     refs_t = of_frames.where("ref_column = 'task_index'")
-    found = orphan_keys(refs_e, live_e, words=filter_words(live_e.count())).unionByName(orphan_keys(refs_t, live_t, words=filter_words(live_t.count())))
+    found = orphan_keys(refs_e, live_e).unionByName(orphan_keys(refs_t, live_t))
     return found.select("child_table", "ref_column", "ref_key", "period")
 
 

@@ -291,10 +291,10 @@ def s04(spark, d):
     return p.where("scene <> ''").groupBy("scene").agg(F.bool_or("rgb").alias("has_rgb"), F.bool_or("depth").alias("has_depth"), F.count("*").alias("n")).where("has_rgb")
 
 
-@R.query("O07_seeded_sample")
+@R.query("O07_seeded_sample", "SELECT scene, episode_index FROM (SELECT DISTINCT scene, episode_index FROM episodes) ORDER BY md5(concat_ws(':', scene, episode_index, '42')), scene, episode_index LIMIT 20")
 def o07(spark, d):
     """Twenty episodes by a seeded order: a sampling operator, the same for every run."""
-    return table(spark, d, "episodes").select("scene", "episode_index").distinct().orderBy(F.xxhash64("scene", "episode_index", F.lit(42)), "scene", "episode_index").limit(20)
+    return table(spark, d, "episodes").select("scene", "episode_index").distinct().orderBy(F.md5(F.concat_ws(":", "scene", "episode_index", F.lit("42"))), "scene", "episode_index").limit(20)
 
 
 @R.query("A02_S09_image_stats")

@@ -57,3 +57,37 @@ def test_empty_null_and_complete(spark, data, clashing):
 def test_entry_delivered_twice_is_no_surplus(spark):
     df = files(spark, [(1, STEM + "episode_000001_1.png", PNG)] * 2)
     assert surplus(df).count() == 0
+
+
+def test_many_ranges_levels_and_a_hot_image(spark, monkeypatch, tmp_path):
+    """A third of all entries are of one image; small ranges and fan-in make parts and levels."""
+    from helmwake.operators import consolidate as c
+
+    rng = np.random.default_rng(7)
+    rows = [(i, STEM + (f"episode_000003_5.png" if i % 3 == 0 else f"episode_{rng.integers(0, 30):06d}_{rng.integers(0, 9)}.png"), PNG if rng.random() < 0.5 else PNG[:20]) for i in rng.permutation(3000).tolist()]
+    df = files(spark, rows).repartition(9)
+    by = {}
+    for i, p, b in rows:
+        by.setdefault(p, []).append((b != PNG, -len(b), i))
+    monkeypatch.setattr(c, "RANGE_ROWS", 150)
+    monkeypatch.setattr(c, "FAN_IN", 2)
+    got = [tuple(r) for r in surplus(df).collect()]
+    assert sorted(got) == sorted((min(x[2] for x in v), x[2]) for v in by.values() for x in v if x[2] != min(y[2] for y in v))
+    monkeypatch.setattr(c, "RANGE_FILES", 2)
+    out = str(tmp_path / "out")
+    man = consolidate(df, out, 10 * len(PNG))
+    back = spark.read.parquet(out)
+    assert {r["file_id"] for r in back.collect()} == {min(v)[2] for v in by.values()} and back.count() == len(by)
+    assert man.count() > 10 and {tuple(r) for r in man.collect()} == {tuple(r) for r in c.manifest(back).collect()}
+    assert max(r["n_bytes"] for r in man.collect()) <= 10 * len(PNG)
+    spans = sorted((r["first_episode"], r["first_frame"], r["last_episode"], r["last_frame"]) for r in man.collect())
+    assert all(a[2:] < b[:2] for a, b in zip(spans, spans[1:]))
+
+
+def test_merge_keeps_repeated_rows_in_order(spark, tmp_path):
+    from helmwake.operators import runs as rn
+
+    rows = spark.createDataFrame([(i * 7 % 40, i % 11) for i in range(500)] * 2, "o bigint, id bigint").repartition(5)
+    runs = rn.write_runs(rows, ["o", "id"], str(tmp_path / "r"))
+    t = [x for part in rn.merge(runs, {"lo": 3, "hi": 30, "part": 0, "parts": 1}) for x in zip(part["o"].to_pylist(), part["id"].to_pylist())]
+    assert t == sorted((r["o"], r["id"]) for r in rows.collect() if 3 <= r["o"] < 30) and len(runs) == 5

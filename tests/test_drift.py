@@ -87,6 +87,27 @@ def test_cases(spark):
     assert ("s", "a", "number", 1, 3) in spans and ("s", "Action", "list of texts", 4, 5) in spans
 
 
+def test_unknown_names_are_renamed_by_shape_and_range(spark):
+    """Same number of commas, but other shapes or ranges: no renaming."""
+    pairs = [([1, 2, 3], [2.5, 3.5, 1]), ([1, 2, 3], [100, 200, 300]), ([1, 2, 3], [-1, 2, 3]), ([[1, 2], [3, 4]], [1, 2, 3, 4]), ("a,b", "c,d"), ([5.0], {"x": 5.0})]
+    df = lines(spark, [(f"s{i}", t, [json.dumps({name: v})]) for i, (a, b) in enumerate(pairs) for t, name, v in ((1, "older", a), (2, "newer", b))])
+    got = {tuple(r) for r in changes(df).collect()}
+    kept = {i: {k for f, k, *_ in got if f == 2 * i + 1} for i in range(len(pairs))}
+    assert kept == {0: {"renamed"}, 1: {"removed", "added"}, 2: {"removed", "added"}, 3: {"removed", "added"}, 4: {"renamed"}, 5: {"removed", "added"}}
+
+
+def test_changes_are_the_ends_of_lifespans(spark, data):
+    t = table(spark, data, "raw_records")
+    spans = [tuple(r) for r in lifespans(t).collect()]
+    last = {}
+    for s, _, _, _, z in spans:
+        last[s] = max(last.get(s, 0), z)
+    starts = sum(a > 1 for *_, a, _ in spans)
+    ends = sum(z < last[s] for s, *_, z in spans)
+    n = Counter(r["change_kind"] for r in changes(t).collect())
+    assert n["added"] + n["renamed"] + n["retyped"] == starts and n["removed"] + n["renamed"] + n["retyped"] == ends
+
+
 def test_empty_and_unreadable(spark):
     df = lines(spark, [("s", 1, ["x", None])])
     assert changes(df).count() == 0 and consistent_table(df).count() == 0 and changes(df.limit(0)).count() == 0

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from helmwake.operators.orphans import bloom_words, filter_words, orphan_keys, orphans
+from helmwake.operators.orphans import MAX_WORDS, bloom_words, orphan_keys, orphans
 from helmwake.session import table
 
 
@@ -21,8 +21,8 @@ def test_nulls_repeats_and_empty(spark):
     assert orphan_keys(refs.limit(0), parents, words=1024).count() == 0
 
 
-def test_size_of_the_filter_is_bounded():
-    assert filter_words(0) == 1024 and filter_words(10**12) == 1 << 18
+def test_size_of_the_filter_is_bounded(spark):
+    assert MAX_WORDS == 1 << 21 and bloom_words(spark.range(200_000).select(F.col("id").alias("key")), "key", 1 << 10).count() == 1 << 10
 
 
 def test_deleted_restored_and_late(spark):
