@@ -1,14 +1,18 @@
 """Byte-level BPE of a public tokenizer, with Spark's higher-order functions.
 
-A text is split into words by the tokenizer's pattern. Each distinct word of a
-text is looked up in the rank map; if it is no token as a whole, its bytes are
-folded: at every step the neighbouring pair of the lowest rank is merged, the
-leftmost first. The ranks of the pairs are kept beside the pieces, so a merge
-looks up two new pairs only. The rank map is a literal (one scalar subquery over
-the 50,256 entries of the vocabulary file), spread over small maps by hash.
-
-Words of more than LONG bytes would need a quadratic number of copied elements;
-texts with such a word go through the same merges with a heap in an Arrow batch.
+A text is split into words by the tokenizer's pattern. The distinct words of the
+corpus are counted; the frequent ones are folded once, spread over all tasks, and
+become a literal of bounded size from which every text reads its words' ids. A
+rarer word is folded where it stands. A fold takes the word's bytes and at every
+step merges the neighbouring pair of the lowest rank, the leftmost first. The ranks
+of the pairs are kept beside the pieces, so a merge looks up two new pairs only. A
+word is cut first between two bytes that stand side by side in no token, as no merge
+can reach across; so the long words of scripts without spaces are short stretches.
+The rank map is a literal (one scalar subquery over the 50,256 entries of the
+vocabulary file), spread over small maps by hash.
+
+Words of more than LONG characters would need a quadratic number of copied elements;
+such words, and only they, go through the same merges with a heap in an Arrow batch.
 """
 
 from __future__ import annotations
@@ -18,25 +22,26 @@ import heapq
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Where the vocabulary files of the public tokenizers lie; a parameter of every function.
 TOKENIZERS = "/opt/tokenizers"
 #: Small maps the rank map is spread over.
 BUCKETS = 16384
-#: Words among which a repeated word is encoded once.
-STRETCH = 512
 #: Frequent words of the corpus that are folded once for all texts; the bound of that literal, not of what is encoded.
-FREQUENT = 40_000
-#: Longest word, in characters of one kind, that is folded by higher-order functions.
+FREQUENT = 65_536
+#: Rank of two bytes that only stand side by side in tokens.
+NO_TOKEN = -1
+#: Longest word, in characters, that is folded by higher-order functions.
 LONG = 400
 
 # Fixed value: the pattern that splits a text into words before the merges.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: White space as the tokenizer has it, for Java's regular expressions.
 _JAVA_SPACE = r"\t\n\x0B\f\r\x20\x85\xA0  -     　"
-JAVA_WORDS = WORDS.replace(r"[^\s\p{L}\p{N}]", rf"[^{_JAVA_SPACE}\p{{L}}\p{{N}}]").replace(r"(?!\S)", rf"(?![^{_JAVA_SPACE}])").replace(r"|\s+", rf"|[{_JAVA_SPACE}]+")
+# possessive quantifiers match the same and keep no way back
+JAVA_WORDS = WORDS.replace(r"\p{L}+", r"\p{L}++").replace(r"\p{N}+", r"\p{N}++").replace(r"\p{N}]+", r"\p{N}]++").replace(r"[^\s\p{L}\p{N}]", rf"[^{_JAVA_SPACE}\p{{L}}\p{{N}}]").replace(r"(?!\S)", rf"(?![^{_JAVA_SPACE}])").replace(r"|\s+", rf"|[{_JAVA_SPACE}]+")
 _LONG_RUN = rf"\p{{L}}{{{LONG}}}|\p{{N}}{{{LONG}}}|[{_JAVA_SPACE}]{{{LONG}}}|[^{_JAVA_SPACE}\p{{L}}\p{{N}}]{{{LONG}}}"
 
 
@@ -47,11 +52,14 @@ def read_ranks(name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> dict[byt
 
 
 def rank_maps(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
-    """One row, ``m``: the rank map as an array of BUCKETS small maps, by hash of the token."""
-    rows = spark.createDataFrame(pd.DataFrame({"t": list(ranks), "r": list(ranks.values())}), "t binary, r int")
-    b = rows.groupBy(F.expr(f"cast(xxhash64(t) & {BUCKETS - 1} AS int)").alias("b")).agg(F.map_from_entries(F.collect_list(F.struct("t", "r"))).alias("m"))
-    b = spark.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(b, "b", "left")
-    return b.agg(F.expr("array_sort(collect_list(struct(b, m)), (x, y) -> x.b - y.b)").alias("x")).select(F.col("x.m").alias("m"))
+    """One row, ``m``: the rank map as an array of BUCKETS small maps, by hash of the token.
+
+    Two bytes that stand side by side in a token without being one have the rank NO_TOKEN.
+    """
+    beside = {t[i : i + 2] for t in ranks for i in range(len(t) - 1)}
+    both = {p: NO_TOKEN for p in beside} | ranks
+    rows = spark.createDataFrame(pd.DataFrame({"t": list(both), "r": list(both.values())}), "t binary, r int")
+    return _spread(rows, "t", "r", "m")
 
 
 def token_bytes(spark: SparkSession, ranks: dict[bytes, int]) -> DataFrame:
@@ -68,22 +76,19 @@ def _rank(maps: str, token: str) -> str:
 
 
 def _fold(maps: str, word: str) -> str:
-    """SQL of the ids of one word ``word`` (binary), by ranked merges."""
+    """SQL of the ids of one stretch ``word`` (binary), by ranked merges."""
     none = "2147483647"
     pieces = f"transform(sequence(1, octet_length({word})), i -> substring({word}, i, 1))"
-    pair = lambda a, b: f"coalesce({_rank(maps, f'concat({a}, {b})')}, {none})"
+    rank = lambda t: f"coalesce(nullif({_rank(maps, t)}, {NO_TOKEN}), {none})"
     # p: the pieces; r: the rank of each piece with the next one; the last has none
-    ranks = f"transform(sequence(1, octet_length({word})), i -> IF(i = octet_length({word}), {none}, {pair(f'substring({word}, i, 1)', f'substring({word}, i + 1, 1)')}))"
+    ranks = f"transform(sequence(1, octet_length({word})), i -> IF(i = octet_length({word}), {none}, {rank(f'substring({word}, i, 2)')}))"
     start = f"named_struct('p', {pieces}, 'r', {ranks})"
-    at = "cast(array_position(s.r, array_min(s.r)) AS int)"
-    joined = "concat(get(s.p, k - 1), get(s.p, k))"
-    left = f"IF(k = 1, array(), concat(slice(s.r, 1, k - 2), array({pair('get(s.p, k - 2)', joined)})))"
-    here = f"array(IF(k + 1 = size(s.p), {none}, {pair(joined, 'get(s.p, k + 1)')}))"
-    merged = (
-        f"named_struct('p', concat(slice(s.p, 1, k - 1), array({joined}), slice(s.p, k + 2, size(s.p))), "
-        f"'r', concat({left.replace('slice(s.r, 1, k - 2)', 'slice(s.r, 1, greatest(k - 2, 0))')}, {here}, slice(s.r, k + 2, size(s.r))))"
-    )
-    step = f"(s, i) -> IF(array_min(s.r) = {none}, s, get(transform(array({at}), k -> {merged}), 0))"
+    place = "cast(array_position(s.r, low) AS int)"
+    joined = "concat(get(s.p, at - 1), get(s.p, at))"
+    left = f"IF(at = 1, array(), concat(slice(s.r, 1, greatest(at - 2, 0)), array({rank('concat(get(s.p, at - 2), both)')})))"
+    here = f"array(IF(at + 1 = size(s.p), {none}, {rank('concat(both, get(s.p, at + 1))')}))"
+    merged = f"named_struct('p', concat(slice(s.p, 1, at - 1), array(both), slice(s.p, at + 2, size(s.p))), 'r', concat({left}, {here}, slice(s.r, at + 2, size(s.r))))"
+    step = f"(s, i) -> {_let('array_min(s.r)', 'low', f'IF(low = {none}, s, {_let(place, 'at', _let(joined, 'both', merged))})')}"
     folded = f"aggregate(sequence(1, greatest(octet_length({word}) - 1, 1)), {start}, {step}, s -> s.p)"
     return f"transform({folded}, t -> {_rank(maps, 't')})"
 
@@ -95,40 +100,51 @@ def _let(value: str, name: str, body: str) -> str:
 
 def _words(text: str) -> str:
     """SQL of the words of a text column."""
-    quoted = "'" + f"({JAVA_WORDS})".replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return f"regexp_extract_all(coalesce(`{text}`, ''), {quoted}, 1)"
+    quoted = "'" + JAVA_WORDS.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"regexp_extract_all(coalesce(`{text}`, ''), {quoted}, 0)"
+
+
+def _encoded(maps: str, word: str) -> str:
+    """SQL of the ids of one word (text): that of the token, or those of the folds of its stretches."""
+    rank = _rank(maps, "b")
+    cuts = f"filter(sequence(1, octet_length(b) - 1), i -> {_rank(maps, 'substring(b, i, 2)')} IS NULL)"
+    parts = "zip_with(concat(array(0), x), concat(x, array(octet_length(b))), (l, h) -> substring(b, l + 1, h - l))"
+    stretches = _let(cuts, "x", f"flatten(transform({parts}, y -> {_fold(maps, 'y')}))")
+    return _let(f"cast({word} AS binary)", "b", f"IF({rank} >= 0, array({rank}), IF(octet_length(b) < 2, array(), {stretches}))")
+
+
+def _spread(rows: DataFrame, key: str, value: str, out: str) -> DataFrame:
+    """One row, ``out``: an array of BUCKETS small maps from key to value, by hash of the key."""
+    b = rows.groupBy(F.expr(f"cast(xxhash64({key}) & {BUCKETS - 1} AS int)").alias("b")).agg(F.map_from_entries(F.collect_list(F.struct(key, value))).alias("m"))
+    b = rows.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(b, "b", "left")
+    return b.agg(F.expr("array_sort(collect_list(struct(b, m)), (x, y) -> x.b - y.b)").alias("x")).select(F.col("x.m").alias(out))
 
 
 def frequent_words(df: DataFrame, text: str, maps: DataFrame, limit: int = FREQUENT) -> DataFrame:
-    """One row, ``c``: the ids of the most frequent words of the column that are no tokens, as an array of small maps.
+    """One row, ``c``: the ids of the most frequent words of the column, as an array of small maps.
 
-    Words are counted with map-side combining over all rows; only the ``limit``
-    most frequent come together. A word that isn't among them is folded where it stands.
+    Words are counted over all rows with map-side combining. A histogram of the
+    counts, eight bins per doubling, gives the count above which at most ``limit``
+    words lie, so nothing is sorted. A word below it is folded where it stands.
     """
-    d = df.select(text).withColumn("__m", maps.scalar())
-    w = d.select("__m", F.explode(F.expr(f"array_distinct({_words(text)})")).alias("w")).withColumn("w", F.col("w").cast("binary")).where(f"{_rank('__m', 'w')} IS NULL")
-    top = w.groupBy("w").agg(F.count("*").alias("n")).where("n > 1").orderBy(F.desc("n"), "w").limit(limit)
-    # spread again: the ordered head is one partition, and folding is the work
-    top = top.repartition(64, "w").withColumn("__m", maps.scalar())
-    ids = top.select("w", F.expr(_fold("__m", "w")).alias("i"))
-    b = ids.groupBy(F.expr(f"cast(xxhash64(w) & {BUCKETS - 1} AS int)").alias("b")).agg(F.map_from_entries(F.collect_list(F.struct("w", "i"))).alias("m"))
-    b = df.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("b")).join(b, "b", "left")
-    return b.agg(F.expr("array_sort(collect_list(struct(b, m)), (x, y) -> x.b - y.b)").alias("x")).select(F.col("x.m").alias("c"))
-
-
-def encode_column(df: DataFrame, text: str, out: str, maps: DataFrame, cache: DataFrame | None = None) -> DataFrame:
-    """Adds ``out``, the ids of the column ``text`` (null: none)."""
+    w = df.select(F.explode(F.expr(_words(text))).alias("w")).groupBy("w").agg(F.count("*").alias("n"))
+    w = w.where(f"n > 1 AND char_length(w) <= {LONG}").withColumn("bin", F.floor(F.log2("n") * 8))
+    h = w.groupBy("bin").agg(F.count("*").alias("k"))
+    above = h.select("bin", F.sum("k").over(Window.orderBy(F.desc("bin"))).alias("k"))  # some 500 rows at most
+    least = above.where(F.col("k") <= limit).agg(F.min("bin").alias("b")).scalar()
+    # spread again, as folding is the work
+    top = w.where(F.col("bin") >= least).select("w").repartition(64, "w").withColumn("__m", maps.scalar())
+    return _spread(top.select("w", F.expr(_let("__m", "m", _encoded("m", "w"))).alias("i")), "w", "i", "c")
+
+
+def encode_column(df: DataFrame, text: str, out: str, maps: DataFrame, cache: DataFrame | None = None, known: str = "NULL") -> DataFrame:
+    """Adds ``out``, the ids of the column ``text`` (null: none); ``known`` is SQL of the ids of the word ``w`` where they are known already."""
     df = df.withColumn("__m", maps.scalar())
-    known = "NULL"
     if cache is not None:
-        df, known = df.withColumn("__k", cache.scalar()), _rank("__k", "w")
-    # a word that is a token needs no merges; in every stretch of words each distinct one is encoded once
-    one = f"IF({_rank('__m', 'w')} IS NOT NULL, array({_rank('__m', 'w')}), coalesce({known}, {_fold('__m', 'w')}))"
-    coded = f"transform(transform(d, x -> cast(x AS binary)), w -> {one})"
-    placed = "transform(ch, x -> get(c, cast(array_position(d, x) AS int) - 1))"
-    stretch = _let("array_distinct(ch)", "d", _let(coded, "c", placed))
-    stretches = f"IF(size(ws) = 0, array(), transform(sequence(0, size(ws) - 1, {STRETCH}), k -> slice(ws, k + 1, {STRETCH})))"
-    ids = _let(_words(text), "ws", f"flatten(flatten(transform({stretches}, ch -> {stretch})))")
+        df, known = df.withColumn("__k", cache.scalar()), f"coalesce({_rank('k', 'w')}, {known})"
+    ids = f"flatten(transform({_words(text)}, w -> coalesce({known}, {_encoded('m', 'w')})))"
+    ids = _let("__m", "m", ids if cache is None else _let("__k", "k", ids))
+    # used once, the literals stay out of the rows
     return df.withColumn(out, F.expr(ids)).drop("__m", "__k")
 
 
@@ -175,18 +191,22 @@ def with_ids(df: DataFrame, text: str = "text", out: str = "ids", name: str = "b
     """
     ranks = read_ranks(name, folder)
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    long_word = t.rlike(_LONG_RUN)
+    # cheap necessary conditions first: a long text, and a long piece without a space, or of spaces
+    has_long = (F.length(t) > LONG) & t.rlike(f"[^ ]{{{LONG}}}| {{{LONG}}}") & t.rlike(_LONG_RUN)
     maps = rank_maps(df.sparkSession, ranks)
-    rest = df.where(~long_word)
-    short = encode_column(rest, text, out, maps, frequent_words(rest, text, maps))
+    cache = frequent_words(df.select(text), text, maps)
+    short = encode_column(df.where(~has_long), text, out, maps, cache)
 
-    @F.pandas_udf("array<int>")
-    def by_heap(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("array<array<int>>")
+    def by_heap(words: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = read_ranks(name, folder)
-        for s in texts:
-            yield s.map(lambda x: encode_text(x, own))
+        for s in words:
+            yield s.map(lambda ws: [heap_merge(w.encode("utf-8"), own) for w in ws])
 
-    return short.unionByName(df.where(long_word).withColumn(out, by_heap(t)))
+    # only the long words leave the fold
+    rest = df.where(has_long).withColumn("__l", F.expr(f"array_distinct(filter({_words(text)}, w -> char_length(w) > {LONG}))"))
+    rest = rest.withColumn("__l", F.map_from_arrays("__l", by_heap("__l")))
+    return short.unionByName(encode_column(rest, text, out, maps, cache, "element_at(__l, w)").drop("__l"))
 
 
 def decode(df: DataFrame, ids: str, out: str, name: str = "byte_bpe_50k", folder: str = TOKENIZERS) -> DataFrame:

@@ -3,7 +3,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from helmwake.llm.tokenizer import LONG, STRETCH, TOKENIZERS, decode, document_ids, encode_text, read_ranks, with_ids
+from helmwake.llm.tokenizer import LONG, TOKENIZERS, decode, document_ids, encode_text, read_ranks, with_ids
 from helmwake.session import table
 
 tokenizers = pytest.importorskip("tokenizers")
@@ -31,7 +31,7 @@ def test_against_the_library(spark, reference):
 
 
 def test_long_words_and_long_texts(spark, reference):
-    texts = ["b" * (LONG * 20), "é" * LONG + " ok", "ab " * (STRETCH * 3), "ภาพหายไป" * 400, " " * 5000 + "x", "word " * 20_000, "9" * 3000]
+    texts = ["b" * (LONG * 20), "é" * LONG + " ok", "ab " * 1500, "ภาพหายไป" * 400, " " * 5000 + "x", "x" * (LONG + 1) + " 東京タワー飛行ภาพหายไป " + "x" * (LONG + 1) + "y " + "z" * LONG, "word " * 20_000, "9" * 3000]
     got = encode(spark, texts)
     assert [got[i] for i in range(len(texts))] == [reference(t) for t in texts]
 
@@ -60,3 +60,15 @@ def test_path_is_a_parameter(spark, tmp_path):
     os.symlink(f"{TOKENIZERS}/byte_bpe_50k.tiktoken", tmp_path / "mine.tiktoken")
     df = spark.createDataFrame([(1, "hello there")], "doc_id bigint, text string")
     assert document_ids(df, "mine", str(tmp_path)).first()["ids"] == document_ids(df).first()["ids"]
+
+
+def test_random_words_of_all_scripts(spark, reference):
+    """Cut into stretches or not, and whether the word is frequent: the library's ids."""
+    import random
+
+    rng = random.Random(5)
+    blocks = [(0x20, 0x7F), (0xA0, 0x24F), (0x370, 0x52F), (0x5D0, 0x6FF), (0x900, 0x97F), (0xE01, 0xE3A), (0x1000, 0x109F), (0x3041, 0x30FF), (0x4E00, 0x9FFF), (0xAC00, 0xD7A3), (0x1F300, 0x1F5FF)]
+    texts = ["".join(chr(rng.randint(*rng.choice(blocks))) for _ in range(rng.randint(1, 40))) for _ in range(300)]
+    texts += ["".join(chr(rng.randint(*b)) for _ in range(60)) for b in blocks for _ in range(5)] + texts[:40]
+    got = encode(spark, texts)
+    assert [got[i] for i in range(len(texts))] == [reference(t) for t in texts]
