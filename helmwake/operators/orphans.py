@@ -30,6 +30,19 @@ def bloom_words(parents: DataFrame, key: str, words: int) -> DataFrame:
     return parents.where(F.col(f"`{key}`").isNotNull()).select(w.alias("w"), bits.alias("b")).groupBy("w").agg(F.bit_or("b").alias("bits"))
 
 
+def _probed(rows: DataFrame, key: str, filt: DataFrame, words: int) -> DataFrame:
+    """The rows with ``__maybe``: may the key be among those of the filter? False is certain."""
+    w, bits = _slot(key, words)
+    f = F.broadcast(filt.select(F.col("w").alias("__w"), F.col("bits").alias("__bits")))
+    p = rows.withColumn("__rw", w).withColumn("__rb", bits).join(f, F.col("__rw") == F.col("__w"), "left")
+    return p.withColumn("__maybe", F.coalesce(F.col("__bits").bitwiseAND(F.col("__rb")) == F.col("__rb"), F.lit(False)))
+
+
+def maybe_among(rows: DataFrame, key: str, filt: DataFrame, words: int = MAX_WORDS) -> DataFrame:
+    """The rows whose key may be among those of the filter's words; all that are, and a few others."""
+    return _probed(rows, key, filt, words).where("__maybe").select(*[F.col(f"`{c}`") for c in rows.columns])
+
+
 def orphan_keys(refs: DataFrame, parents: DataFrame, ref_key: str = "ref_key", parent_key: str = "key", words: int = MAX_WORDS) -> DataFrame:
     """The rows of ``refs`` whose key is not among the parents' keys.
 
@@ -38,11 +51,7 @@ def orphan_keys(refs: DataFrame, parents: DataFrame, ref_key: str = "ref_key", p
     """
     r = refs.where(F.col(f"`{ref_key}`").isNotNull())
     p = parents.select(F.col(f"`{parent_key}`").alias("__p"))
-    w, bits = _slot(ref_key, words)
-    filt = F.broadcast(bloom_words(p, "__p", words).select(F.col("w").alias("__w"), F.col("bits").alias("__bits")))
-    probed = r.withColumn("__rw", w).withColumn("__rb", bits).join(filt, F.col("__rw") == F.col("__w"), "left")
-    maybe = F.coalesce(F.col("__bits").bitwiseAND(F.col("__rb")) == F.col("__rb"), F.lit(False))
-    probed = probed.withColumn("__maybe", maybe)
+    probed = _probed(r, ref_key, bloom_words(p, "__p", words), words)
     cols = [F.col(f"`{c}`") for c in refs.columns]
     certain = probed.where(~F.col("__maybe")).select(*cols)
     # only filter-positive references are joined exactly
