@@ -1,16 +1,22 @@
 """Records that differ only in formatting, by progressive partition refinement.
 
-Level 1 groups records by cheap invariants of formatting: the number of letters
-and digits and a histogram of them. Level 2 computes the full key, which parses
-JSON, only inside level-1 classes with several members. Level 3 is the key's
-128-bit digest, by which copies are aggregated.
+Level 1 groups records by cheap invariants of formatting: the number of letters and
+a histogram of them, without parsing and without sorting. Only (class, count) is
+shuffled; the classes with several members become a Bloom filter of bounded size,
+which every task probes with its own records. Level 2 computes the full key, which
+parses JSON, only for records that pass, where they stand. Level 3 is the key's
+128-bit digest, by which copies are aggregated; no text is ever shuffled.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from helmwake.operators.orphans import MAX_WORDS, bloom_words, maybe_among
+
 #: White space, punctuation, symbols, controls and invisible format characters.
 SEPARATORS = r"[\s\p{Z}\p{P}\p{S}\p{C}]+"
 #: What stands between two digits without white space is content: 2.5, 7:33, 10-20.
@@ -27,11 +33,19 @@ def plain_key(text: Column) -> Column:
     """
     t = F.translate(text, OPEN + CLOSE + FIELD, "   ")
     t = F.regexp_replace(t, MARK_IN_NUMBER, OPEN + "$1" + CLOSE)
-    # protected marks are spelt as their code in hexadecimal by splitting around them
-    parts = F.split(t, OPEN)
+    return _let(F.split(t, OPEN), _spelt)
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _spelt(parts: Column) -> Column:
+    """The stripped text around protected marks, of which each part but the first begins with one."""
     first = _strip(F.element_at(parts, 1))
     rest = F.transform(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), lambda p: F.concat(F.lit(OPEN), F.substring_index(p, CLOSE, 1), F.lit(CLOSE), _strip(p.substr(F.locate(CLOSE, p) + 1, F.length(p)))))
-    return F.when(F.size(parts) <= 1, _strip(t)).otherwise(F.concat(first, F.concat_ws("", rest)))
+    return F.when(F.size(parts) <= 1, first).otherwise(F.concat(first, F.concat_ws("", rest)))
 
 
 def _strip(t: Column) -> Column:
@@ -39,14 +53,17 @@ def _strip(t: Column) -> Column:
     return F.upper(F.regexp_replace(apart, r"[\s\p{Z}\p{P}\p{S}&&[^\u0003]]+|[\p{C}&&[^\u0003]]+", ""))
 
 
+def _looks_json(text: Column) -> Column:
+    return text.rlike(r"^[\s\p{Z}]*[\[{]")
+
+
 def json_text(text: Column) -> Column:
     """The record as canonical JSON (fields sorted, no layout, no escapes), or null when it is no JSON object or list.
 
     A JSON value with one field named twice is no JSON here and is compared as text.
     """
-    looks = F.ltrim(text).rlike(r"^[\s\p{Z}]*[\[{]")
     v = F.try_parse_json(F.translate(text, "\t\n\r\u0085  　", " " * 7))
-    return F.when(looks, F.to_json(v))
+    return F.when(_looks_json(text), F.to_json(v))
 
 
 def json_key(canonical: Column) -> Column:
@@ -60,19 +77,29 @@ def json_key(canonical: Column) -> Column:
 
 def full_key(text: Column) -> Column:
     """The costly key: two records are copies when it is equal."""
-    j = json_text(text)
-    return F.coalesce(json_key(j), F.concat(F.lit("T"), plain_key(text)))
+    return F.coalesce(_let(json_text(text), json_key), F.concat(F.lit("T"), plain_key(text)))
+
+
+#: Letters that the histogram counts one by one; E stands in the notation of numbers and is left out.
+HISTOGRAM = "AINORSTLDU"
 
 
 def cheap_key(text: Column) -> Column:
-    """Invariant under all formatting: the count of ASCII letters and digits, and a digest of how often each occurs.
+    """Invariant under all formatting: a digest of the number of letters and of how often each occurs, in any script.
 
-    Letters are counted in upper case, as some have two there. JSON is counted in
-    its canonical form, where neither escapes nor the spelling of numbers differ.
+    Letters are counted in upper case, as some have two there. The histogram holds
+    the Latin letters, those of HISTOGRAM each by itself, and the others' number and
+    sum of hashes, so nothing is sorted. Digits and E are left out, as JSON numbers have several
+    spellings. JSON is counted by its raw letters; it is parsed only where it holds
+    a backslash, behind which a letter may be another one's escape.
     """
-    t = F.upper(F.coalesce(json_text(text), text))
-    letters = F.regexp_replace(F.regexp_replace(t, r"\\(U[0-9A-F]{4}|.)", " "), "[^A-Z0-9]+", "")
-    return F.struct(F.length(letters).alias("n"), F.xxhash64(F.array_sort(F.split(letters, ""))).alias("h"))
+    raw = F.when(text.contains("\\") & _looks_json(text), F.regexp_replace(json_text(text), r"\\(u[0-9a-fA-F]{4}|.)", " "))
+    t = F.upper(F.coalesce(raw, text))
+    latin = F.regexp_replace(t, "[^A-DF-Z]+", "")
+    counts = [F.octet_length(latin) - F.octet_length(F.replace(latin, F.lit(c), F.lit(""))) for c in HISTOGRAM]
+    rest = F.regexp_replace(t, r"[\x00-\x7F]+|[^\p{L}]", "")
+    hashes = F.aggregate(F.split(rest, ""), F.lit(0).cast("bigint"), lambda a, c: a + F.shiftright(F.xxhash64(c), 16))
+    return F.xxhash64(F.octet_length(latin), *counts, F.when(F.octet_length(t) > F.length(t), F.when(F.length(rest) > 0, F.xxhash64(F.length(rest), hashes))))
 
 
 def blank(text: Column) -> Column:
@@ -80,13 +107,16 @@ def blank(text: Column) -> Column:
     return F.coalesce(F.regexp_replace(text, r"[\s\p{Z}\p{C}]+", "") == "", F.lit(True))
 
 
-def _classes(records: DataFrame, key: str, text: str) -> DataFrame:
-    """(id, k): every record's class digest, computed only where the cheap key is shared; else null."""
+def _classes(records: DataFrame, key: str, text: str, words: int = MAX_WORDS) -> DataFrame:
+    """(id, k): the class digest of every record that may share its cheap key with another; the rest is left out.
+
+    The filter may let a single record pass; it gets a class of its own.
+    """
     r = records.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("t")).where(~blank(F.col("t")) & F.col("id").isNotNull())
     r = r.withColumn("c", cheap_key(F.col("t")))
-    # sums of the cheap key combine inside each task: a class with a third of all rows costs no task more
+    # counts of the cheap key combine inside each task: a class with a third of all rows costs no task more
     several = r.groupBy("c").agg(F.count("*").alias("n")).where("n > 1").select("c")
-    inside = r.join(several, "c", "left_semi")
+    inside = maybe_among(r, "c", bloom_words(several, "c", words), words)
     return inside.select("id", F.md5(full_key(F.col("t"))).alias("k"))
 
 

@@ -2,7 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
-from helmwake.llm.duplicates import collapse, copies
+from helmwake.llm.duplicates import cheap_key, collapse, copies
 from helmwake.session import table
 
 SCHEMA = "task_index bigint, task string"
@@ -58,3 +58,17 @@ def test_collapse_counts_every_record(spark):
     rows = {r["task_index"]: r["n_copies"] for r in collapse(df).collect()}
     assert rows == {0: 3, 2: 1, 3: 1, 5: 1} and sum(rows.values()) == 6
     assert collapse(df).agg(F.sum("n_copies")).first()[0] == 6
+
+
+def test_cheap_key_refines_every_script(spark):
+    """Level 1 tells texts of any script apart and is the same for every form of one record."""
+    words = ["飞向红塔然后右转", "飞向蓝塔然后右转", "飞向红塔然后左转", "летит к башне", "летит к бочке", "πέτα στον πύργο", "fly to the tower", "fly to the towel", "turn north"]
+    texts = words + [w.upper() + "。 !" for w in words] + [json.dumps([{"a": w}]) for w in words] + [json.dumps([{"a": w}], ensure_ascii=False, indent=1) for w in words]
+    df = spark.createDataFrame(list(enumerate(texts)), "i bigint, t string").select("i", cheap_key(F.col("t")).alias("c"))
+    c = [r["c"] for r in df.orderBy("i").collect()]
+    n = len(words)
+    assert c[:n] == c[n : 2 * n] and c[2 * n : 3 * n] == c[3 * n :] and len(set(c)) == 2 * n
+
+
+def test_a_backslash_in_plain_text_is_punctuation(spark):
+    assert run(spark, ["[go\\north now", "go north NOW", "[go/north] now"]) == {(0, 1), (0, 2)}
