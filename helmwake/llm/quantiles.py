@@ -29,6 +29,8 @@ FIELDS = ("observation.state", "action")
 PERCENTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 #: Partial digests one merging task takes at a time (at most some 200 kB each); more are merged in steps.
 FAN_IN = 256
+#: Nodes a task holds before it compresses them, and how many may be left before it puts out the digests that are done.
+HELD, KEPT = 8_000_000, 4_000_000
 
 
 def leaf(x: np.ndarray) -> np.ndarray:
@@ -133,7 +135,7 @@ _DIGEST = "robot string, scene string, day string, field_name string, dim int, n
 def _partial(epsilon: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[pd.DataFrame, np.ndarray, np.ndarray, np.ndarray]] = []
-        size = 0
+        size = base = 0
         for b in batches:
             labels, first, parts = [], 0, []
             keys = pd.DataFrame({c: b.column(c).to_pandas() for c in ("robot", "scene", "day")})
@@ -160,9 +162,12 @@ def _partial(epsilon: float):
                 g, x, c = compress(*(np.concatenate(z) for z in zip(*parts)), epsilon=epsilon)
                 held.append((pd.concat(labels, ignore_index=True), g, x, c))
                 size += len(x)
-            if size > 8_000_000:
-                held = [_joined(held, epsilon)]
-                size = len(held[0][2])
+            # what is left doubles before it is compressed again, so the work stays in proportion to the input
+            if size > max(HELD, 2 * base):
+                done, open_ = _closed(_joined(held, epsilon), rows, KEPT)
+                yield from _batches(*done)
+                held = [open_]
+                size = base = len(open_[2])
         if held:
             yield from _batches(*_joined(held, epsilon))
 
@@ -180,6 +185,18 @@ def _joined(held: list[tuple], epsilon: float) -> tuple:
     return (frame, *compress(g, np.concatenate([h[2] for h in held]), np.concatenate([h[3] for h in held]), epsilon))
 
 
+def _closed(all_: tuple, last: pd.DataFrame, kept: int) -> tuple[tuple, tuple]:
+    """Digests to put out, and those to go on with: all of them; beyond ``kept`` nodes those of the last batch's keys; none where these are too many."""
+    frame, g, x, c = all_
+    if len(x) <= kept:
+        return (frame, g[:0], x[:0], c[:0]), all_
+    both = pd.concat([last, frame[["robot", "scene", "day"]]], ignore_index=True)
+    code, _ = pd.factorize(pd.MultiIndex.from_frame(both), use_na_sentinel=False)
+    stays = np.isin(code[len(last) :], code[: len(last)])[g]
+    stays &= stays.sum() <= kept
+    return (frame, g[~stays], x[~stays], c[~stays]), (frame, g[stays], x[stays], c[stays])
+
+
 def _batches(labels: pd.DataFrame, g: np.ndarray, x: np.ndarray, c: np.ndarray, rows: int = 2000) -> Iterator[pa.RecordBatch]:
     if not len(x):
         return
@@ -203,7 +220,9 @@ def distinct_readings(frames: DataFrame) -> DataFrame:
     x = frames.select("episode_index", "frame_index", "robot", "scene", F.date_format("recorded_at", "yyyy-MM-dd").alias("day"), state.alias("state"), action.alias("action"))
     # a digest of the content keeps frames apart that share a name but differ
     x = x.withColumn("h", F.xxhash64("robot", "scene", "day", "state", "action")).repartition("robot", "scene", "day")
-    return x.dropDuplicates(["robot", "scene", "day", "episode_index", "frame_index", "h"]).select("robot", "scene", "day", "state", "action")
+    one = x.dropDuplicates(["robot", "scene", "day", "episode_index", "frame_index", "h"])
+    # in order of the keys, a task needs to hold few of them; the removal of copies has sorted already
+    return one.sortWithinPartitions("robot", "scene", "day").select("robot", "scene", "day", "state", "action")
 
 
 def digests(readings: DataFrame, by_day: bool = True, epsilon: float = EPSILON) -> DataFrame:

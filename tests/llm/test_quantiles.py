@@ -89,3 +89,37 @@ def test_nulls_nan_infinity_ties_and_empty(spark):
     assert rows[("robot", "r", "observation.state", 0, 0.5)] == (1.0, 3) and rows[("robot", "r", "observation.state", 0, 1.0)] == (inf, 3)
     assert rows[("scene", "s", "observation.state", 1, 0.5)] == (-inf, 1) and rows[("robot", None, "observation.state", 0, 0.5)] == (7.0, 1)
     assert frame_percentiles(df.limit(0)).count() == 0
+
+
+def test_two_thousand_saturated_keys(monkeypatch):
+    """Memory follows the nodes in work, and the compressions the input; sorted keys come out once, others right, too."""
+    import pyarrow as pa
+
+    from helmwake.llm import quantiles as q
+
+    eps, rng, work = 0.1, np.random.default_rng(1), []
+    plain = q.compress
+    monkeypatch.setattr(q, "HELD", 60_000)
+    monkeypatch.setattr(q, "KEPT", 30_000)
+    monkeypatch.setattr(q, "compress", lambda g, x, c, epsilon: work.append(len(x)) or plain(g, x, c, epsilon))
+    values = rng.normal(0, 1, (2000, 400)).astype(np.float32)
+
+    def batches(order):
+        for part in np.array_split(order, 100):
+            day = pa.array([f"d{k:04d}" for k in part // 400])
+            name = pa.array(["r"] * len(part))
+            nums = pa.array([[float(v)] for v in values.reshape(-1)[part]], pa.list_(pa.float32()))
+            yield pa.RecordBatch.from_arrays([name, name, day, nums, pa.nulls(len(part), pa.list_(pa.float32()))], ["robot", "scene", "day", "state", "action"])
+
+    for order in (np.arange(800_000), rng.permutation(800_000)):
+        work.clear()
+        got = {}
+        for b in q._partial(eps)(batches(order)):
+            for r in b.to_pylist():
+                got.setdefault(r["day"], []).append(r)
+        assert len(got) == 2000 and all(sum(r["n"] for r in v) == 400 for v in got.values())
+        for k in (0, 777, 1999):
+            x, c = (np.concatenate(z) for z in zip(*[q.unpack(r["digest"]) for r in got[f"d{k:04d}"]]))
+            assert error(values[k], x, c, 0.5) <= 2 * eps * 400 + 1
+        assert sum(work) < 6 * 800_000
+        assert max(work) < 500_000 and (order[1] != 1 or max(map(len, got.values())) <= 2)
