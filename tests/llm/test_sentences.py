@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from helmwake.llm.sentences import OUTPUT, STEP, cut, document_sentences, run, sentence_units
+from helmwake.llm.sentences import NEVER, OUTPUT, STEP, abbreviations, cut, document_sentences, pieces, run, sentence_units
 from helmwake.session import table
 
 CASES = [
@@ -92,3 +92,44 @@ def test_documents(spark, data, clashing):
         rest = "".join(x[b:a] for (_, b), (a, _) in zip([(0, 0), *spans], [*spans, (len(x or ""), 0)])) if x else ""
         assert not rest.strip()
     assert document_sentences(t.limit(0)).count() == 0
+
+
+def test_abbreviations_are_learned_from_the_documents(spark):
+    """None of these is in the seed; words that only ever end sentences are not learned."""
+    held = {"gov": "Gov. Smith", "sen": "Sen. Warren", "sig": "Sig. Rossi", "jan": "Jan. 3", "resp": "resp. Karte", "u.k": "U.K. Navy"}
+    assert not set(held) & NEVER
+    rng = np.random.default_rng(3)
+    lines = []
+    for i in range(3000):
+        k = list(held.values())[i % len(held)]
+        lines.append(f"He met {k} near the {rng.choice(['goal', 'gate', 'ramp'])}. The drone went {rng.choice(['left', 'up', 'down'])}. All was fine. The gate, ramp and goal at left went up and down to a fine land. We saw it land." + ("\n\n" if i % 3 == 0 else " "))
+    docs = spark.createDataFrame([(i, "".join(lines[i * 30 : i * 30 + 30])) for i in range(100)], "doc_id bigint, text string")
+    learned = abbreviations(docs)
+    assert set(held) <= learned and not learned & {"goal", "gate", "ramp", "left", "up", "down", "fine", "land"}
+    got = document_sentences(docs).groupBy("doc_id").count().collect()
+    assert all(r["count"] == 150 for r in got)
+    assert abbreviations(docs.limit(0)) == NEVER
+
+
+def test_tokens_without_a_vowel_are_no_words():
+    assert units("We climbed Mt. Everest with Sgt. Pepper. See blz. 5. It was 12 mm. The end. Turn on the TV. Good.") == ["We climbed Mt. Everest with Sgt. Pepper.", "See blz. 5.", "It was 12 mm.", "The end.", "Turn on the TV.", "Good."]
+
+
+def test_end_marks_of_other_scripts():
+    assert units("သွားပါ။ ရပ်ပါ။") == ["သွားပါ။", "ရပ်ပါ။"]
+    assert units("ទៅមុខ។ ឈប់។") == ["ទៅមុខ។", "ឈប់។"]
+    assert units("ወደ ፊት ሂድ። ቁም።") == ["ወደ ፊት ሂድ።", "ቁም።"]
+    assert units("Զգույշ։ Կանգ։") == ["Զգույշ։", "Կանգ։"]
+
+
+PARTS = ["The drone held 28.9 m. ", '"Do we have a fix?" asked J. R. Pellmoor. ', "记录员写道：“路径畅通。”停！", "Wait... is that the cone?\n\n", "ลมแรงขึ้น ภาพหายไป 3 เฟรม ", "« Restez ! » a crié M. T. ", "   \n  ", "«Стоп!» — крикнул он. ", "「止まれ。」と叫んだ。"]
+
+
+def test_pieces_of_a_long_text_compose_to_the_whole(spark):
+    rng = np.random.default_rng(11)
+    texts = ["".join(rng.choice(PARTS, 400)) for _ in range(4)] + ["x" * 3000 + ". Y" + "z" * 900, "." * 2000 + " A b. C d", " " * 5000, "a " * 4000, None, ""]
+    assert all([t[a:b] for t in texts if t for a, b in pieces(t, 100)]) and "".join(texts[0][a:b] for a, b in pieces(texts[0], 7)) == texts[0]
+    docs = spark.createDataFrame([(i // 2, t) for i, t in enumerate(texts + texts[:1])], "doc_id bigint, text string")
+    want = sorted(map(tuple, document_sentences(docs).collect()))
+    for size in (50, 700, 10**6):
+        assert sorted(map(tuple, document_sentences(docs, size).collect())) == want
