@@ -124,7 +124,9 @@ _IS_CJK = re.compile(f"[{_CJK}]")
 _BLANK = r"(?:\r\n|\r|\n)(?:[^\S\r\n]*(?:\r\n|\r|\n))+"
 #: End marks of all scripts, by Unicode's property Sentence_Terminal (which has no semicolon and no ellipsis).
 TERMINAL = frozenset(c for c in map(chr, range(0x20000)) if regex.match(r"\p{Sentence_Terminal}", c))
-_MARKS = f"[{re.escape(''.join(sorted(TERMINAL)))}…;\u037e]+"
+# a character set with members beyond U+FFFF is slow, so these are only tried on such characters
+_MARK = "(?:[%s…;\u037e]|(?=[\U00010000-\U0010ffff])[%s])" % tuple(re.escape("".join(sorted(c for c in TERMINAL if (c > "\uffff") == far))) for far in (False, True))
+_MARKS = f"{_MARK}+"
 #: End marks that stand for themselves: no abbreviation or number has them.
 _PLAIN_ENDS = TERMINAL - set(".!?．。！？｡‼‽⁇⁈⁉﹒﹖﹗")
 _GUILLEMET = r"(?:(?:\r\n|\s)»(?![^\s.,;:!?)]))?"
