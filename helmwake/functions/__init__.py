@@ -56,12 +56,28 @@ def last_number(name: Column) -> Column:
     return F.try_element_at(F.regexp_extract_all(name, F.lit(r"(\d+)"), F.lit(1)), F.lit(-1)).try_cast("bigint")
 
 
-def quota(text: str) -> float:
-    """A number of episodes from the command line: 'inf', 'all' and 'none' are no limit, negative numbers are 0."""
+def quota(text: str) -> int | None:
+    """A number of episodes from the command line: 'inf', 'all' and 'none' are no limit (None), negative numbers are 0."""
     t = text.strip().lower()
     if t in ("inf", "infinity", "all", "none", "-"):
-        return float("inf")
-    return float(max(0, int(float(t))))
+        return None
+    return max(0, int(float(t)))
+
+
+def take(values: Column, places: Column) -> Column:
+    """The elements at the places, from 0; null where there is none."""
+    return F.transform(places, lambda i: F.get(values, i))
+
+
+def masked(values: Column, mask: Column) -> Column:
+    """The elements whose mask is true; the mask may be shorter."""
+    return F.filter(values, lambda v, i: F.coalesce(F.get(mask, i), F.lit(False)))
+
+
+def plain_json(vector: Column) -> Column:
+    """JSON text of a vector of numbers; NaN and infinities, which JSON lacks, are null."""
+    finite = F.transform(vector, lambda v: F.when(~F.isnan(v) & (F.abs(v) < float("inf")), v))
+    return F.to_json(finite)
 
 
 def with_default(m: Column, key: Column, default: str) -> Column:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 Rot = list[Column]
@@ -197,9 +197,76 @@ def back_project(u: Column, v: Column, depth: Column, fx: Column, fy: Column, cx
 
 
 def angular_distance(a: Rot, b: Rot) -> Column:
-    """The angle of the rotation from a to b."""
+    """The angle of the rotation from a to b (G26), from the skew part and the trace, as exact near 0 and 180 degrees as elsewhere."""
     m = matmul(transpose(a), b)
-    return F.acos(clip((m[0] + m[4] + m[8] - 1) / 2, -1.0, 1.0))
+    return F.atan2(norm3(m[7] - m[5], m[2] - m[6], m[3] - m[1]), m[0] + m[4] + m[8] - 1)
+
+
+def to_homogeneous(v: Sequence[Column], point: bool = True) -> list[Column]:
+    """[x, y, z, 1] of a point, [x, y, z, 0] of a vector, which a translation does not move."""
+    return [*v, F.lit(1.0 if point else 0.0)]
+
+
+def apply_homogeneous(p: Pose, h: Sequence[Column]) -> list[Column]:
+    """The pose's 4 x 4 matrix times a homogeneous point or vector."""
+    return [*[r + t * h[3] for r, t in zip(apply(p.r, h[:3]), p.t)], h[3]]
+
+
+def pose6_of_pose4(p: Sequence[Column]) -> list[Column]:
+    """[x, y, z, roll, pitch, yaw] of [x, y, z, yaw]; roll and pitch are 0."""
+    return [*p[:3], F.lit(0.0), F.lit(0.0), p[3]]
+
+
+def pose4_of_pose6(p: Sequence[Column]) -> list[Column]:
+    """[x, y, z, yaw] of [x, y, z, roll, pitch, yaw]."""
+    return [*p[:3], p[5]]
+
+
+def relative_pose4(a: Sequence[Column], b: Sequence[Column]) -> list[Column]:
+    """Pose b in a's frame, all as [x, y, z, yaw in degrees]."""
+    return pose4_of_pose6(relative_pose(pose6_of_pose4(a), pose6_of_pose4(b)))
+
+
+def levelled_state(first: Pose, here: Pose) -> tuple[list[Column], Column, Column]:
+    """[x, y, z, yaw in degrees] of a camera seen from the first one, both levelled: forward, left, up (W01, first form); and pitch and roll, which must be 0."""
+    level = lambda p: Pose(level_camera(p.r), p.t)
+    rel = compose(inverse(level(first)), level(here))
+    yaw, pitch, roll = euler_yxz(rel.r)
+    x, y, z = rel.t
+    return [-z, -x, y, F.degrees(yaw)], F.degrees(pitch), F.degrees(roll)
+
+
+def require_level(value: Column, pitch: Column, roll: Column, most: float = 1e-3) -> Column:
+    """The value, or an error that ends the query where pitch or roll is not 0."""
+    return F.when((F.abs(pitch) < most) & (F.abs(roll) < most), value).otherwise(F.raise_error(F.concat(F.lit("pitch or roll is not 0: "), pitch.cast("string"), F.lit(", "), roll.cast("string"))))
+
+
+def is_level(roll: Column, limit: float = 5.0) -> Column:
+    """Is the camera's roll within ``limit`` degrees of a level one's 90 (F01)?"""
+    return F.abs(F.lit(90.0) - roll) <= limit
+
+
+def random_poses(spark: SparkSession, n: int, seed: int = 42) -> DataFrame:
+    """n poses with x, y in [-10, 10], z in [0, 20] and angles in [-180, 180], the same for a seed.
+
+    The numbers are hashes of the row, so they do not depend on the partitions.
+    """
+    u = lambda k: F.pmod(F.xxhash64("id", F.lit(seed), F.lit(k)), F.lit(1 << 53)) / float(1 << 53)
+    span = [(-10, 10), (-10, 10), (0, 20), (-180, 180), (-180, 180), (-180, 180)]
+    return spark.range(n).select("id", *[(F.lit(float(a)) + u(k) * float(b - a)).alias(c) for k, (c, (a, b)) in enumerate(zip(AXES, span))])
+
+
+def spiral_poses(spark: SparkSession, n: int, radius: float = 5.0, turns: float = 2.0, height: float = 10.0) -> DataFrame:
+    """n poses up a spiral, heading along it."""
+    t = F.col("id") / F.lit(float(max(n - 1, 1)))
+    a = t * (2 * 3.141592653589793 * turns)
+    return spark.range(n).select("id", (F.lit(radius) * F.cos(a)).alias("x"), (F.lit(radius) * F.sin(a)).alias("y"), (t * height).alias("z"), F.lit(0.0).alias("roll"), F.lit(0.0).alias("pitch"), wrap_degrees(F.degrees(a) + 90.0).alias("yaw"))
+
+
+def path_colour(at: Column, start: Sequence[float] = (0.0, 0.0, 1.0), end: Sequence[float] = (1.0, 0.0, 0.0)) -> list[Column]:
+    """[red, green, blue] from 0 to 1 of a place along a path, from 0 to 1."""
+    t = clip(at, 0.0, 1.0)
+    return [F.lit(a) + t * (b - a) for a, b in zip(map(float, start), map(float, end))]
 
 
 def norm3(x: Column, y: Column, z: Column) -> Column:

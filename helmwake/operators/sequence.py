@@ -75,23 +75,37 @@ def first_of(keys: Sequence[Column], none: int = -1) -> Column:
     return F.coalesce(*[F.nullif(k, F.lit(none)) for k in keys], F.lit(none))
 
 
-def quota_split(df: DataFrame, order: Sequence[str], quotas: Sequence[tuple[str, int]], out: str = "split") -> DataFrame:
+def quota_split(df: DataFrame, order: Sequence[str], quotas: Sequence[tuple[str, int | None]], out: str = "split") -> DataFrame:
     """The first rows in ``order`` get the first split's name and so on; rows beyond all quotas are left out.
 
-    Only the quotas' rows are put in order: a limit keeps the sort to the heads of
-    the partitions.
+    A quota of None takes all that is left. Only the rows of finite quotas are put in
+    order: a limit keeps that sort to the heads of the partitions, and the rest is
+    what does not come before the last of them.
     """
-    total = sum(n for _, n in quotas)
-    head = df.orderBy(*order).limit(total)
-    rn = F.row_number().over(Window.orderBy(*order))
-    edges, at = [], 0
+    finite: list[tuple[str, int]] = []
+    rest = None
     for label, n in quotas:
+        if n is None:
+            rest = label
+            break
+        finite.append((label, n))
+    total = sum(n for _, n in finite)
+    edges, at = [], 0
+    for label, n in finite:
         at += n
         edges.append((label, at))
-    case = F.when(F.col("__rn") <= edges[0][1], F.lit(edges[0][0]))
-    for label, at in edges[1:]:
-        case = case.when(F.col("__rn") <= at, F.lit(label))
-    return head.withColumn("__rn", rn).withColumn(out, case).drop("__rn")
+    if not total:
+        return df.withColumn(out, F.lit(rest)) if rest is not None else df.where(F.lit(False)).withColumn(out, F.lit(None).cast("string"))
+    case = F.lit(None).cast("string")
+    for label, edge in reversed(edges):
+        case = F.when(F.col("__rn") <= edge, F.lit(label)).otherwise(case)
+    numbered = df.orderBy(*order).limit(total).withColumn("__rn", F.row_number().over(Window.orderBy(*order)))
+    head = numbered.withColumn(out, case).drop("__rn")
+    if rest is None:
+        return head
+    # the order's keys name a row; without a head there is no rest
+    last = numbered.where(F.col("__rn") == total).select(F.struct(*order).alias("k")).scalar()
+    return head.unionByName(df.where(F.struct(*order) > last).withColumn(out, F.lit(rest)))
 
 
 def with_gap(df: DataFrame, by: Sequence[str], order: Sequence[str], seconds: str, fps: float, slack: float = 0.1) -> DataFrame:
@@ -118,6 +132,17 @@ def action_chunk(c: str, by: Sequence[str], order: Sequence[str], steps: int = 1
     return F.collect_list(c).over(span(by, order, 0, steps - 1))
 
 
+#: Offset that stands for the episode's first row.
+FIRST = -9999
+
+
+def at_offset(c: str, by: Sequence[str], order: Sequence[str], offset: int) -> Column:
+    """The value ``offset`` rows ahead, that of the last row beyond it, or the first row's for FIRST."""
+    if offset == FIRST:
+        return first_frame(c, by, order)
+    return F.last(c).over(span(by, order, min(0, offset), offset))
+
+
 def first_frame(c: str, by: Sequence[str], order: Sequence[str]) -> Column:
     """The value of the episode's first row."""
     return F.first(c).over(span(by, order, Window.unboundedPreceding, 0))

@@ -3,12 +3,12 @@
 There is no spatial index in Spark; points are joined by grid cell. Cells of
 the search radius make the 27 cells around a query exact for all distances up to
 the radius, which is all that the clamped risk needs. Unbounded nearest
-neighbours widen the ring cell by cell until no closer point can be left out.
+neighbours enlarge the cells until no closer point can be left out.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,8 +17,8 @@ from helmwake.operators.prefix import join_null_safe
 from helmwake.operators.se3 import expit, norm3
 from helmwake.operators.sequence import box_smooth, lookahead_min, over, speed, with_velocity, with_yaw_rate
 
-#: Rings of cells after which a query without a neighbour is compared with all its scene's points.
-MAX_RINGS = 6
+#: Growth of the cells from one round of the neighbour search to the next, and the rounds.
+GROWTH, ROUNDS = 8, 3
 
 
 def voxel_downsample(points: DataFrame, scene: Sequence[str], size: float, cols: Sequence[str] = ("x", "y", "z")) -> DataFrame:
@@ -58,24 +58,26 @@ def nearest_within(queries: DataFrame, points: DataFrame, scene: str, key: Seque
 def knn(queries: DataFrame, points: DataFrame, scene: str, key: Sequence[str], point_key: str, k: int, cell: float) -> DataFrame:
     """The k nearest points of the same scene for each query point: key, point_key, dist, rank.
 
-    Ring by ring: a query is settled once its k-th distance is no larger than the
-    radius its rings cover. What is still open after MAX_RINGS is compared with its
-    whole scene, so the result is exact. Ties go by ``point_key``.
+    Round by round: a query looks into the 27 cells around it and is settled once its
+    k-th distance is no larger than a cell. For those still open the cells are GROWTH
+    times as large in the next round, so each round looks into 27 cells only. What is
+    open after ROUNDS, with cells far larger than a scene, is compared with its whole
+    scene, so the result is exact. Ties go by ``point_key``.
     """
     qs = queries.select(scene, *key, "x", "y", "z")
     ps = points.select(F.col(scene).alias("__s"), F.col(point_key).alias("__p"), *[F.col(c).alias(f"p{c}") for c in "xyz"])
-    ps = ps.select("*", *[_cell(F.col(f"p{c}"), cell).alias(f"__c{c}") for c in "xyz"])
     dist = norm3(F.col("x") - F.col("px"), F.col("y") - F.col("py"), F.col("z") - F.col("pz"))
     rank = F.row_number().over(Window.partitionBy(scene, *key).orderBy("dist", "__p"))
     done = None
     rest = qs
-    for reach in (1, MAX_RINGS):
-        r = range(-reach, reach + 1)
-        offs = F.array(*[F.struct(*[F.lit(o).alias(n) for o, n in zip((i, j, m), "ijk")]) for i in r for j in r for m in r]) if reach == 1 else None
-        q = rest.select("*", F.explode(offs).alias("o")) if offs is not None else rest.select("*", F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias("oi")).select("*", F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias("oj")).select("*", F.explode(F.sequence(F.lit(-reach), F.lit(reach))).alias("ok")).select("*", F.struct(F.col("oi").alias("i"), F.col("oj").alias("j"), F.col("ok").alias("k")).alias("o"))
-        on = [F.col(scene) == F.col("__s"), *[(_cell(F.col(c), cell) + F.col(f"o.{o}")) == F.col(f"__c{c}") for c, o in zip("xyz", "ijk")]]
-        near = q.join(ps, on).select(scene, *key, F.col("__p"), dist.alias("dist")).withColumn("rank", rank).where(F.col("rank") <= k)
-        full = near.groupBy(scene, *key).agg(F.count("*").alias("n"), F.max("dist").alias("d")).where((F.col("n") >= k) & (F.col("d") <= reach * cell)).select(scene, *key)
+    around = F.array(*[F.struct(*[F.lit(o).alias(n) for o, n in zip((i, j, m), "ijk")]) for i in (-1, 0, 1) for j in (-1, 0, 1) for m in (-1, 0, 1)])
+    for r in range(ROUNDS):
+        size = cell * GROWTH**r
+        q = rest.select("*", F.explode(around).alias("o"))
+        p = ps.select("*", *[_cell(F.col(f"p{c}"), size).alias(f"__c{c}") for c in "xyz"])
+        on = [F.col(scene) == F.col("__s"), *[(_cell(F.col(c), size) + F.col(f"o.{o}")) == F.col(f"__c{c}") for c, o in zip("xyz", "ijk")]]
+        near = q.join(p, on).select(scene, *key, F.col("__p"), dist.alias("dist")).withColumn("rank", rank).where(F.col("rank") <= k)
+        full = near.groupBy(scene, *key).agg(F.count("*").alias("n"), F.max("dist").alias("d")).where((F.col("n") >= k) & (F.col("d") <= size)).select(scene, *key)
         settled = near.join(full, [scene, *key], "left_semi")
         done = settled if done is None else done.unionByName(settled)
         rest = rest.join(full, [scene, *key], "left_anti")
@@ -83,15 +85,6 @@ def knn(queries: DataFrame, points: DataFrame, scene: str, key: Sequence[str], p
     return done.unionByName(last).select(scene, *key, F.col("__p").alias(point_key), "dist", F.col("rank").cast("bigint").alias("rank"))
 
 
-def knn_plain(queries: DataFrame, points: DataFrame, scene: str, key: Sequence[str], point_key: str, k: int) -> DataFrame:
-    """``knn`` for scenes with few points: an equi-join by scene."""
-    ps = points.select(F.col(scene).alias("__s"), F.col(point_key).alias("__p"), *[F.col(c).alias(f"p{c}") for c in "xyz"])
-    dist = norm3(F.col("x") - F.col("px"), F.col("y") - F.col("py"), F.col("z") - F.col("pz"))
-    j = queries.select(scene, *key, "x", "y", "z").join(ps, F.col(scene) == F.col("__s")).select(scene, *key, "__p", dist.alias("dist"))
-    r = j.withColumn("rank", F.row_number().over(Window.partitionBy(scene, *key).orderBy("dist", "__p")).cast("bigint")).where(F.col("rank") <= k)
-    return r.select(scene, *key, F.col("__p").alias(point_key), "dist", "rank")
-
-
 def risk_logistic(d: Column, safe: float = 0.5, sigma: float = 0.2) -> Column:
     """Logistic risk of a distance."""
     return expit((F.lit(safe) - d) / sigma)
@@ -130,6 +123,14 @@ def collision_probability(poses: DataFrame, points: DataFrame, scene: str, episo
     return near.select(scene, *key, risk_linear(F.col("m"), none=none).alias("prob"))
 
 
+def avoidance(poses: DataFrame, points: DataFrame, scene: str, episode: Sequence[str], frame: str, strategy: str | Callable = "turning", **options) -> DataFrame:
+    """(episode, frame, score) by the strategy: 'turning' (G21), 'velocity' (G22) or any function with their parameters."""
+    known = {"turning": avoidance_turning, "velocity": avoidance_velocity}
+    if isinstance(strategy, str) and strategy not in known:
+        raise ValueError(f"no such strategy: {strategy}; there are {sorted(known)}")
+    return (known[strategy] if isinstance(strategy, str) else strategy)(poses, points, scene, episode, frame, **options)
+
+
 def _nearest(queries: DataFrame, points: DataFrame, scene: str, key: Sequence[str], reach: float) -> DataFrame:
     """Distance of each query point to its scene's nearest point, up to ``reach``, beyond which the risks are 0 within 1e-9."""
     return nearest_within(queries, points, scene, key, reach, "d")

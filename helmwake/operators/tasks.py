@@ -44,17 +44,34 @@ def canonical_key(tasks: Column) -> Column:
     return F.to_json(tasks)
 
 
-def registry(rows: DataFrame, task: str, order: list[str]) -> DataFrame:
+def require_valid(tasks: Column) -> Column:
+    """The task list, or an error that ends the query where it is not valid (F05, strict form)."""
+    return F.when(valid_tasks(tasks), tasks).otherwise(F.raise_error(F.concat(F.lit("no valid task in "), F.coalesce(F.to_json(tasks), F.lit("null")))).cast(TASKS))
+
+
+def compact_json(tasks: Column) -> Column:
+    """The task list as compact JSON in ASCII: other characters are escaped (X08, first form)."""
+    text = F.to_json(tasks)
+    escaped = lambda c: F.when(c.rlike(r"[\x00-\x7F]"), c).otherwise(F.regexp_replace(F.lower(F.hex(F.encode(c, "UTF-16BE"))), "(....)", r"\\u$1"))
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.array_join(F.transform(F.split(text, ""), escaped), "")).otherwise(text)
+
+
+def registry(rows: DataFrame, task: str, order: list[str], known: DataFrame | None = None) -> DataFrame:
     """(task_index, task): a dense number per distinct task in order of first appearance (J11, ST6).
 
     The numbers are a function of the data alone. Distinct tasks are found with
     map-side combining and counted bucket by bucket of the first order column,
-    which must be an integer; a null there comes first.
+    which must be an integer; a null there comes first. Tasks of ``known``, an earlier
+    registry, keep their numbers and are not in the result; new ones go on behind them.
     """
     first = rows.where(F.col(task).isNotNull()).groupBy(F.col(task).alias("task")).agg(F.min(F.struct(*order)).alias("__o"))
+    start = F.lit(0).cast("bigint")
+    if known is not None:
+        first = first.join(known.select("task"), "task", "left_anti")
+        start = known.agg(F.coalesce(F.max("task_index") + 1, F.lit(0)).cast("bigint").alias("n")).scalar()
     at = F.coalesce(F.col(f"__o.{order[0]}").cast("bigint"), F.lit(-(1 << 62)).cast("bigint"))
     n = distributed_prefix_sum(first.withColumn("__one", F.lit(1)), [], F.shiftright(at, 10), ["__o", "task"], "__one", "__n")
-    return n.select((F.col("__n") - 1).cast("bigint").alias("task_index"), "task")
+    return n.select((F.col("__n") - 1 + start).cast("bigint").alias("task_index"), "task")
 
 
 def encode(rows: DataFrame, reg: DataFrame, task: str) -> DataFrame:

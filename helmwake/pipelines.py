@@ -7,7 +7,8 @@ source (scene or id), source_episode, frame_index, task, state and action
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import uuid
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -16,7 +17,9 @@ from pyspark.sql import functions as F
 
 from helmwake.operators import se3, sequence, spatial, tasks, visibility
 from helmwake.operators.prefix import distributed_prefix_sum, join_null_safe
+from helmwake.session import shared_path
 from helmwake.sinks import episodes as sink
+from helmwake.sinks import fs
 from helmwake.sources import clouds, episodes, images, jsonl, uav
 
 KEY = ["scene", "episode_index"]
@@ -71,6 +74,17 @@ def convert_uav(spark: SparkSession, path: str, unified: bool = False) -> DataFr
     return s.select(F.col("file").alias("source"), "source_episode", place.cast("bigint").alias("frame_index"), "task", "state", "action")
 
 
+def split_trajectories(frames: DataFrame, quotas: Sequence[tuple[str, int | None]]) -> DataFrame:
+    """Converted frames with ``split``: the first trajectories by source and source_episode go to the first split and so on."""
+    e = frames.select("source", "source_episode").distinct()
+    return join_null_safe(frames, sequence.quota_split(e, ["source", "source_episode"], quotas), ["source", "source_episode"])
+
+
+def split_report(frames: DataFrame, fps: float) -> DataFrame:
+    """Trajectories, frames and seconds of each split."""
+    return frames.groupBy("split").agg(F.count_distinct("source", "source_episode").alias("trajectories"), F.count("*").alias("frames"), (F.count("*") / F.lit(float(fps))).alias("seconds"))
+
+
 def convert_ce(spark: SparkSession, root: str) -> DataFrame:
     """Room navigation with goal frames: the first given goal, else the next forward action, else the last frame."""
     f = _ordered(episodes.read_frames(spark, root))
@@ -130,31 +144,100 @@ def _farthest_frames(f: DataFrame, depth: DataFrame, width: int, height: int) ->
     return visibility.farthest(p, KEY, "frame_index", "end", "stop", "edge")
 
 
-def convert_n1(spark: SparkSession, root: str, width: int = 480, height: int = 270, roll_limit: float = 5.0, keep: Column | None = None, fps: float = 10.0, risk: float = 0.8) -> DataFrame:
-    """Camera trajectories with depth: state with a gated yaw rate, steps and the pose of the farthest visible frame.
+def rejected(spark: SparkSession, root: str, roll_limit: float | None = 5.0) -> DataFrame:
+    """The error log of a camera data set (K11): source, source_episode and reason of every episode that a conversion leaves out.
 
-    Episodes without valid tasks, or whose first roll differs from level by more
-    than ``roll_limit``, are left out before any costly step; ``keep`` is a further
-    predicate on the frames' columns. Scenes without a point cloud have no risk.
+    Reasons, the first that holds: 'no metadata', 'no valid task', 'not level' (only
+    with a roll limit). A conversion's frames and this log together name every episode.
+    """
+    f = episodes.read_frames(spark, root).select(*KEY, "row", F.col("action").alias("cam"))
+    first = f.groupBy(*KEY).agg(F.min_by("cam", "row").alias("c0"))
+    m = _metadata(spark, root).select(*KEY, F.lit(True).alias("there"), tasks.valid_tasks(tasks.parse_tasks(F.col("tasks"))).alias("valid"))
+    j = join_null_safe(first, m, KEY, "left")
+    level = F.lit(True) if roll_limit is None else se3.is_level(F.degrees(se3.euler_zyx(se3.from_flat(F.col("c0")).r)[2]), roll_limit)
+    why = F.when(F.col("there").isNull(), F.lit("no metadata")).when(~F.col("valid"), F.lit("no valid task")).when(~F.coalesce(level, F.lit(False)), F.lit("not level"))
+    return j.select(F.col("scene").alias("source"), F.col("episode_index").cast("string").alias("source_episode"), why.alias("reason")).where("reason IS NOT NULL")
+
+
+def _n1_frames(spark: SparkSession, root: str, keep: Column | Callable[[DataFrame], DataFrame] | None, strict: bool) -> DataFrame:
+    """Frames of the episodes with valid tasks: cam, intrinsics, task, iv (intervals), and __c0, the first frame's camera.
+
+    ``keep`` is a predicate on the frames' columns, or a function that leaves
+    episodes out (UD1). With ``strict`` an episode without a valid task is an error.
     """
     f = _ordered(episodes.read_frames(spark, root))
     if keep is not None:
-        f = f.where(keep)
-    meta = _metadata(spark, root).withColumn("steps", tasks.parse_tasks(F.col("tasks"))).where(tasks.valid_tasks(F.col("steps")))
+        f = f.where(keep) if isinstance(keep, Column) else keep(f)
+    meta = _metadata(spark, root).withColumn("steps", tasks.parse_tasks(F.col("tasks")))
+    meta = meta.withColumn("steps", tasks.require_valid(F.col("steps"))) if strict else meta.where(tasks.valid_tasks(F.col("steps")))
     meta = meta.select(*KEY, tasks.canonical_key(F.col("steps")).alias("task"), tasks.sub_intervals(F.col("steps")).alias("iv"))
     k = F.col("`observation.camera_intrinsic`")
-    f = f.select(*KEY, "frame_index", F.col("action").alias("cam"), *[F.get(k, F.lit(i)).alias(n) for n, i in (("fx", 0), ("fy", 4), ("cx", 2), ("cy", 5))])
-    f = join_null_safe(f, meta, KEY).withColumn("__c0", sequence.first_frame("cam", KEY, ["frame_index"]))
-    roll = F.degrees(se3.euler_zyx(se3.from_flat(F.col("__c0")).r)[2])
-    f = f.where(F.abs(F.lit(90.0) - roll) <= roll_limit)
+    f = f.select(*KEY, "frame_index", F.col("action").alias("cam"), k.alias("k"), *[F.get(k, F.lit(i)).alias(n) for n, i in (("fx", 0), ("fy", 4), ("cx", 2), ("cy", 5))])
+    return join_null_safe(f, meta, KEY).withColumn("__c0", sequence.first_frame("cam", KEY, ["frame_index"]))
+
+
+def _with_end(f: DataFrame) -> DataFrame:
+    """``end``: the last frame a frame may look at, by its sub-task interval."""
+    f = f.withColumn("__last", F.max("frame_index").over(Window.partitionBy(*KEY)))
+    return f.withColumn("end", visibility.enclosing_end(F.col("iv"), F.col("frame_index"), F.col("__last"))).drop("iv")
+
+
+def _depth_images(spark: SparkSession, root: str) -> DataFrame:
+    """(scene, episode_index, frame_index, data) of the depth images of a tree."""
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.png").load(root)
+    listing = listing.where(F.col("path").contains("observation.images.depth"))
+    name = F.substring_index("path", "/", -1)
+    return listing.select(F.regexp_extract("path", r"([^/]+)/videos/", 1).alias("scene"), F.regexp_extract(name, r"episode_0*(\d+)", 1).try_cast("bigint").alias("episode_index"), F.regexp_extract(name, r"_0*(\d+)\.[^.]*$", 1).try_cast("bigint").alias("frame_index"), F.col("content").alias("data"))
+
+
+def n1_extras(spark: SparkSession, root: str) -> DataFrame:
+    """Per episode K, the first frame's intrinsics, and T_b_c, the camera in the body frame."""
+    f = episodes.read_frames(spark, root)
+    g = f.groupBy(*KEY).agg(F.min_by("action", "row").alias("c0"), F.min_by("`observation.camera_intrinsic`", "row").alias("K"))
+    return g.select(F.col("scene").alias("source"), F.col("episode_index").cast("string").alias("source_episode"), "K", se3.to_flat(se3.camera_in_body(se3.from_flat(F.col("c0")))).alias("T_b_c"))
+
+
+def convert_n1_levelled(spark: SparkSession, root: str, width: int = 480, height: int = 270, keep: Column | Callable[[DataFrame], DataFrame] | None = None, strict: bool = True, check_level: bool = True) -> DataFrame:
+    """The first form of the camera conversion: every frame's camera is levelled, state is forward, left, up and yaw of four values.
+
+    Invalid tasks are an error unless ``strict`` is off, and so is a levelled camera
+    with pitch or roll unless ``check_level`` is off (F18). Steps and the pose of the
+    farthest visible frame are planar; the last frame's step is 0.
+    """
+    f = _with_end(_n1_frames(spark, root, keep, strict))
+    state, pitch, roll = se3.levelled_state(se3.from_flat(F.col("__c0")), se3.from_flat(F.col("cam")))
+    state = F.array(*state)
+    f = f.withColumn("state", se3.require_level(state, pitch, roll) if check_level else state)
+    far = _farthest_frames(f.select(*KEY, "frame_index", "end", "cam", "fx", "fy", "cx", "cy"), _depth_images(spark, root), width, height)
+    f = join_null_safe(f, far, [*KEY, "frame_index"], "left").withColumn("goal", F.coalesce("farthest", "frame_index"))
+    f = f.withColumn("next", F.lead("state").over(sequence.over(KEY, ["frame_index"])))
+    g = f.select(*KEY, F.col("frame_index").alias("goal"), F.col("state").alias("there"))
+    f = join_null_safe(f, g, [*KEY, "goal"], "left")
+    seen = lambda c: F.when(F.col(c).isNotNull(), F.array(*se3.relative_pose4([F.col("state")[i] for i in range(4)], [F.col(c)[i] for i in range(4)])))
+    return f.select(F.col("scene").alias("source"), F.col("episode_index").cast("string").alias("source_episode"), "frame_index", "task", "state", F.concat(F.coalesce(seen("next"), _zeros()), F.coalesce(seen("there"), _zeros())).alias("action"))
+
+
+def convert_n1(spark: SparkSession, root: str, width: int = 480, height: int = 270, roll_limit: float | None = 5.0, keep: Column | Callable[[DataFrame], DataFrame] | None = None, fps: float = 10.0, risk: float = 0.8, voxel: float | None = 0.01, strict: bool = False) -> DataFrame:
+    """Camera trajectories with depth: state with a gated yaw rate, steps and the pose of the farthest visible frame.
+
+    Episodes without valid tasks, or whose first roll differs from level by more
+    than ``roll_limit``, are left out before any costly step (``rejected`` names them);
+    ``keep`` is a further predicate on the frames' columns or a function of the frames.
+    The point cloud is thinned to one point per ``voxel`` first. Scenes without a point
+    cloud have no risk.
+    """
+    f = _n1_frames(spark, root, keep, strict)
+    if roll_limit is not None:
+        f = f.where(se3.is_level(F.degrees(se3.euler_zyx(se3.from_flat(F.col("__c0")).r)[2]), roll_limit))
     body = se3.compose(se3.from_flat(F.col("cam")), se3.inverse(se3.camera_in_body(se3.from_flat(F.col("__c0")))))
-    f = f.withColumn("pose", se3.to_flat(body)).withColumn("__last", F.max("frame_index").over(Window.partitionBy(*KEY)))
-    f = f.withColumn("end", visibility.enclosing_end(F.col("iv"), F.col("frame_index"), F.col("__last"))).drop("iv")
+    f = _with_end(f.withColumn("pose", se3.to_flat(body)))
     f = _with_state_and_delta(f, "pose")
     world = se3.pose4_degrees(se3.from_flat(F.col("pose")))
     p = f.select(*KEY, "frame_index", *[c.alias(n) for n, c in zip(("x", "y", "z", "yaw"), world)])
     try:
         points = clouds.read_ply(spark, f"{root}/*/meta").select("scene", "x", "y", "z")
+        if voxel:
+            points = spatial.voxel_downsample(points, ["scene"], voxel).select("scene", "x", "y", "z")
         prob = spatial.collision_probability(p, points, "scene", KEY, "frame_index", 1.0 / fps)
     except Exception as e:  # no cloud anywhere below the root
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
@@ -163,11 +246,7 @@ def convert_n1(spark: SparkSession, root: str, width: int = 480, height: int = 2
     rate = sequence.with_yaw_rate(p, KEY, ["frame_index"], "yaw", 1.0 / fps).withColumn("smooth", sequence.box_smooth("yaw_rate", KEY, ["frame_index"], 10)).select(*KEY, "frame_index", "smooth")
     f = join_null_safe(join_null_safe(f, rate, [*KEY, "frame_index"]), prob, [*KEY, "frame_index"], "left")
     gated = F.when(F.col("prob") > risk, F.col("smooth")).otherwise(F.lit(0.0))
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.png").load(root)
-    listing = listing.where(F.col("path").contains("observation.images.depth"))
-    name = F.substring_index("path", "/", -1)
-    depth = listing.select(F.regexp_extract("path", r"([^/]+)/videos/", 1).alias("scene"), F.regexp_extract(name, r"episode_0*(\d+)", 1).try_cast("bigint").alias("episode_index"), F.regexp_extract(name, r"_0*(\d+)\.[^.]*$", 1).try_cast("bigint").alias("frame_index"), F.col("content").alias("data"))
-    far = _farthest_frames(f.select(*KEY, "frame_index", "end", "cam", "fx", "fy", "cx", "cy"), depth, width, height)
+    far = _farthest_frames(f.select(*KEY, "frame_index", "end", "cam", "fx", "fy", "cx", "cy"), _depth_images(spark, root), width, height)
     f = join_null_safe(f, far, [*KEY, "frame_index"], "left")
     f = f.withColumn("goal", F.when(F.col("frame_index") < F.col("__last"), F.coalesce("farthest", "frame_index")))
     f = _with_goal(f, "pose", "goal")
@@ -175,31 +254,63 @@ def convert_n1(spark: SparkSession, root: str, width: int = 480, height: int = 2
     return f.select(F.col("scene").alias("source"), F.col("episode_index").cast("string").alias("source_episode"), "frame_index", "task", state.alias("state"), F.concat("delta", "goal_pose").alias("action"))
 
 
-def publish(frames: DataFrame, root: str, fps: float, robot: str, overwrite: bool = False) -> dict:
+def publish(frames: DataFrame, root: str, fps: float, robot: str, overwrite: bool = False, append: bool = False, extras: DataFrame | None = None, errors: DataFrame | None = None, shapes: dict | None = None) -> dict:
     """Writes converted frames as episodes with tasks, statistics and info; returns the totals.
 
     Episodes are numbered densely in order of source and source_episode, tasks in
-    order of first appearance (Q03): the numbers follow from the data alone.
+    order of first appearance (Q03): the numbers follow from the data alone. With
+    ``append`` they go on behind the output that is there, whose tasks keep their
+    numbers; counters, tasks and statistics are carried on (ST4). ``extras`` has one row
+    per source and source_episode, written to episodes_extras.jsonl, ``errors`` the log
+    of what was left out. The frames are converted once, to the shared folder.
     """
     from helmwake.operators import stats
 
-    sink.prepare(root, overwrite)
+    spark = frames.sparkSession
+    sink.prepare(spark, root, overwrite, append)
+    before = sink.read_info(spark, root) if append else {}
+    n_before = int(before.get("total_episodes", 0))
+    at = shared_path(spark, f"publish_{uuid.uuid4().hex}")
+    frames.write.parquet(f"{at}/frames")
+    frames = spark.read.parquet(f"{at}/frames")
     e = frames.select("source", "source_episode").distinct().withColumn("__one", F.lit(1))
     e = distributed_prefix_sum(e, [], F.col("source"), ["source", "source_episode"], "__one", "__n")
-    e = e.select("source", "source_episode", (F.col("__n") - 1).cast("bigint").alias("episode_index"))
+    e = e.select("source", "source_episode", (F.col("__n") - 1 + n_before).cast("bigint").alias("episode_index"))
+    e.write.parquet(f"{at}/episodes")
+    e = spark.read.parquet(f"{at}/episodes")
     f = join_null_safe(frames, e, ["source", "source_episode"])
-    reg = tasks.registry(f, "task", ["episode_index", "frame_index"])
-    f = tasks.encode(f, reg, "task")
+    known = None
+    if before and fs.exists(spark, f"{root}/meta/tasks.jsonl"):
+        # as it is now: the file grows below
+        spark.read.schema("task_index bigint, task string").json(f"{root}/meta/tasks.jsonl").write.parquet(f"{at}/known")
+        known = spark.read.parquet(f"{at}/known")
+    tasks.registry(f, "task", ["episode_index", "frame_index"], known).write.parquet(f"{at}/tasks")
+    new = spark.read.parquet(f"{at}/tasks")
+    f = tasks.encode(f, new if known is None else known.unionByName(new), "task")
     vec = lambda c: F.col(c).cast("array<float>")
     rows = f.select("episode_index", "frame_index", "task_index", F.array(F.col("task_index").cast("int")).alias("annotation.human.action.task_description"), vec("state").alias("observation.state"), vec("action").alias("action"))
-    sink.write_frames(sink.with_indexes(rows, fps), root)
-    sink.write_jsonl(reg, f"{root}/meta/tasks.jsonl", ["task_index"])
+    sink.write_frames(sink.with_indexes(rows, fps, frames_before=int(before.get("total_frames", 0))), root)
+    sink.write_jsonl(new, f"{root}/meta/tasks.jsonl", ["task_index"], append)
     ep = f.groupBy("episode_index").agg(F.array_sort(F.collect_set("task")).alias("tasks"), F.count("*").alias("length"))
-    sink.write_jsonl(ep, f"{root}/meta/episodes.jsonl", ["episode_index"])
+    sink.write_jsonl(ep, f"{root}/meta/episodes.jsonl", ["episode_index"], append)
     each = [stats.vector_stats(rows, ["episode_index"], c).withColumn("feature", F.lit(c)) for c in ("observation.state", "action")]
     st = each[0].unionByName(each[1]).groupBy("episode_index", "feature").agg(*[F.array_sort(F.collect_list(F.struct("dim", c))).getField(c).alias(c) for c in ("min", "max", "mean", "std")], F.array(F.max("count")).alias("count"))
     st = st.groupBy("episode_index").agg(F.map_from_entries(F.collect_list(F.struct("feature", F.struct("min", "max", "mean", "std", "count")))).alias("stats"))
-    sink.write_jsonl(st, f"{root}/meta/episodes_stats.jsonl", ["episode_index"])
-    t = f.agg(F.count_distinct("episode_index").alias("total_episodes"), F.count("*").alias("total_frames"), F.count_distinct("task_index").alias("total_tasks")).first().asDict()
-    sink.write_info(root, t, {c: {"dtype": "float32"} for c in ("observation.state", "action")}, fps, robot)
-    return t
+    sink.write_jsonl(st, f"{root}/meta/episodes_stats.jsonl", ["episode_index"], append)
+    if extras is not None:
+        x = join_null_safe(extras, e, ["source", "source_episode"]).drop("source", "source_episode")
+        sink.write_jsonl(x.select("episode_index", *[c for c in x.columns if c != "episode_index"]), f"{root}/meta/episodes_extras.jsonl", ["episode_index"], append)
+    if errors is not None:
+        sink.write_jsonl(errors, f"{root}/meta/errors.jsonl", ["source", "source_episode"], append)
+    t = f.agg(F.count_distinct("episode_index").alias("total_episodes"), F.count("*").alias("total_frames"), F.coalesce(F.max(F.size("state")), F.lit(4)).alias("s"), F.coalesce(F.max(F.size("action")), F.lit(8)).alias("a")).first().asDict()
+    own = {"annotation.human.action.task_description": {"dtype": "int32", "shape": [1]}, "observation.state": {"dtype": "float32", "shape": [t.pop("s")]}, "action": {"dtype": "float32", "shape": [t.pop("a")]}}
+    total = {k: int(v) + int(before.get(k, 0)) for k, v in t.items()} | {"total_tasks": new.count() + int(before.get("total_tasks", 0))}
+    sink.write_info(spark, root, total, own | (shapes or {}), fps, robot)
+    fs.remove(spark, at)
+    return total
+
+
+def publish_splits(frames: DataFrame, root: str, fps: float, robot: str, quotas: Sequence[tuple[str, int | None]], **options) -> dict[str, dict]:
+    """Publishes each split of the trajectories below ``root``/<split>; returns the totals by split."""
+    s = split_trajectories(frames, quotas)
+    return {label: publish(s.where(F.col("split") == label).drop("split"), f"{root}/{label}", fps, robot, **options) for label, _ in quotas}

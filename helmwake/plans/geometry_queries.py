@@ -73,6 +73,78 @@ def g03(spark, d):
     return s.select("ep", "f", *[r6(v).alias("l" + k) for k, v in zip(c, rel)])
 
 
+_LEVEL = f"""{NUMBERED}, c AS (SELECT *, {sql_rot('yaw', 'pitch', 'roll', 'c')} FROM np), e AS (SELECT *, degrees(atan2(c3, c0)) AS ly, degrees(-asin(least(greatest(c6, -1.0), 1.0))) AS lp, degrees(atan2(c7, c8)) AS lr FROM c),
+w AS (SELECT *, {', '.join(f'first_value({k}) {W} AS f_{k}' for k in ('x', 'y', 'z', 'ly', 'lp'))} FROM e), r AS (SELECT *, {sql_rot('f_ly', 'f_lp', '90.0', 'a')}, {sql_rot('ly', 'lp', '90.0', 'b')} FROM w),
+m AS (SELECT *, {sql_apply('a', ['x - f_x', 'y - f_y', 'z - f_z'], ['q0', 'q1', 'q2'], ta=True)}, {sql_mul('a', 'b', 'm', ta=True)} FROM r)"""
+
+
+def _levelled(spark, d):
+    p = _with(numbered(poses(spark, d)), lambda c: sequence.first_frame(c, ["ep"], ["f"]), "f_")
+    state, pitch, roll = se3.levelled_state(se3.pose6(_cols("f_")), se3.pose6(_cols()))
+    return p.select("ep", "f", *[c.alias(n) for n, c in zip(("sx", "sy", "sz", "syaw"), state)], pitch.alias("pitch"), roll.alias("roll"))
+
+
+@R.query("W01_v1_state", f"WITH {_LEVEL} SELECT ep, f, {q6('-q2')} AS sx, {q6('-q0')} AS sy, {q6('q1')} AS sz, {q6('degrees(atan2(m2, m8))')} AS syaw FROM m")
+def w01_v1(spark, d):
+    return rounded(_levelled(spark, d), ["ep", "f"], ["sx", "sy", "sz", "syaw"])
+
+
+@R.query("F18_pitch_assert", f"WITH {_LEVEL}, p AS (SELECT ep, degrees(-asin(least(greatest(m5, -1.0), 1.0))) AS pitch, degrees(atan2(m3, m4)) AS roll FROM m) SELECT ep, count(*) AS n_frames, count(*) FILTER (abs(pitch) < 2.0 AND abs(roll) < 2.0) AS n_level, {q6('max(abs(pitch))')} AS worst FROM p GROUP BY ep")
+def f18(spark, d):
+    """Per episode the frames whose levelled camera has pitch and roll within two degrees; the assertion's own limit would fail every random pose."""
+    s = _levelled(spark, d)
+    ok = (F.abs("pitch") < 2.0) & (F.abs("roll") < 2.0)
+    return s.groupBy("ep").agg(F.count("*").alias("n_frames"), F.count(F.when(ok, 1)).alias("n_level"), r6(F.max(F.abs("pitch"))).alias("worst"))
+
+
+@R.query("F01_roll_filter", f"WITH {_LEVEL} SELECT ep, {q6('lr + 90')} AS roll0 FROM m WHERE f = 0 AND abs(90.0 - (lr + 90)) <= 5.0")
+def f01(spark, d):
+    """Episodes whose first camera is level within five degrees; the poses' roll counts from level."""
+    p = numbered(poses(spark, d)).where("f = 0").withColumn("roll0", F.degrees(se3.euler_zyx(se3.pose6(_cols()).r)[2]) + 90)
+    return p.where(se3.is_level(F.col("roll0"))).select("ep", r6("roll0").alias("roll0"))
+
+
+@R.query("P07_pose4_pose6", f"WITH {NUMBERED} SELECT ep, f, x, y, z, 0.0::DOUBLE AS roll, 0.0::DOUBLE AS pitch, yaw, yaw AS yaw4 FROM np")
+def p07(spark, d):
+    p4 = [F.col(c) for c in ("x", "y", "z", "yaw")]
+    p6 = se3.pose6_of_pose4(p4)
+    return numbered(poses(spark, d)).select("ep", "f", *[c.alias(n) for n, c in zip(se3.AXES, p6)], se3.pose4_of_pose6(p6)[3].alias("yaw4"))
+
+
+@R.query("P08_homogeneous", f"""WITH {NUMBERED}, r AS (SELECT *, {sql_rot('yaw', 'pitch', 'roll', 'a')} FROM np), m AS (SELECT *, {sql_apply('a', ['px', 'py', 'pz'], ['q0', 'q1', 'q2'])} FROM r)
+SELECT ep, f, {q6('q0 + x')} AS p0, {q6('q1 + y')} AS p1, {q6('q2 + z')} AS p2, 1.0::DOUBLE AS p3, {q6('q0')} AS v0, {q6('q1')} AS v1, {q6('q2')} AS v2, 0.0::DOUBLE AS v3 FROM m""")
+def p08(spark, d):
+    at = [F.col(c) for c in ("px", "py", "pz")]
+    pose = se3.pose6(_cols())
+    cols = [r6(c).alias(f"{n}{i}") for n, h in (("p", True), ("v", False)) for i, c in enumerate(se3.apply_homogeneous(pose, se3.to_homogeneous(at, h)))]
+    return numbered(poses(spark, d)).select("ep", "f", *cols)
+
+
+_M9 = " + ".join(f"{i + 1} * a{i}" for i in range(9))
+
+
+@R.query("P04_matrix_layout", f"WITH {NUMBERED}, r AS (SELECT *, {sql_rot('yaw', 'pitch', 'roll', 'a')} FROM np) SELECT ep, f, {q6(_M9)} AS content, 9 AS n FROM r")
+def p04(spark, d):
+    """Rotations delivered as nested matrices, read flat."""
+    r = se3.pose6(_cols()).r
+    nested = F.array(*[F.array(*r[3 * i : 3 * i + 3]) for i in range(3)])
+    t = numbered(poses(spark, d)).select("ep", "f", se3.flat_matrix(nested, nested=True).alias("m"))
+    return t.select("ep", "f", r6(sum(((i + 1) * F.col("m")[i] for i in range(1, 9)), F.col("m")[0])).alias("content"), F.size("m").alias("n"))
+
+
+@R.query("G27_spiral", f"""WITH t AS (SELECT i AS id, i / 999.0 AS t FROM range(1000) r(i)) SELECT id, {q6('5 * cos(t * 4 * pi())')} AS x, {q6('5 * sin(t * 4 * pi())')} AS y, {q6('10 * t')} AS z, {q6(sql_wrap('degrees(t * 4 * pi()) + 90 + 1e-9'))} AS yaw FROM t""")
+def g27(spark, d):
+    """A generator: poses up a spiral."""
+    s = se3.spiral_poses(spark, 1000)
+    return s.select("id", *[r6(c).alias(c) for c in "xyz"], r6(se3.wrap_degrees(F.col("yaw") + 1e-9)).alias("yaw"))
+
+
+@R.query("G30_path_colour", f"WITH {NUMBERED}, n AS (SELECT ep, f, f / CAST(max(f) OVER (PARTITION BY ep) AS DOUBLE) AS t FROM np) SELECT ep, f, {q6('t')} AS red, 0.0::DOUBLE AS green, {q6('1 - t')} AS blue FROM n WHERE NOT isnan(t)")
+def g30(spark, d):
+    p = numbered(poses(spark, d)).withColumn("last", F.max("f").over(Window.partitionBy("ep"))).where("last > 0")
+    return p.select("ep", "f", *[r6(c).alias(n) for n, c in zip(("red", "green", "blue"), se3.path_colour(F.col("f") / F.col("last")))])
+
+
 @R.query("G04_body_to_world", f"""WITH {NUMBERED}, w AS (SELECT *, {_first} FROM np), r AS (SELECT *, {sql_rot('f_yaw', 'f_pitch', 'f_roll', 'a')}, {sql_rot('yaw', 'pitch', 'roll', 'b')} FROM w),
 m AS (SELECT *, {sql_apply('a', ['x', 'y', 'z'], ['q0', 'q1', 'q2'])}, {sql_mul('a', 'b', 'm')} FROM r)
 SELECT ep, f, {q6('q0 + f_x')} AS r_x, {q6('q1 + f_y')} AS r_y, {q6('q2 + f_z')} AS r_z, {_rpy('m')} FROM m""")
@@ -158,12 +230,12 @@ def g16(spark, d):
 
 
 @R.query("G25_G26_G29_magnitudes", f"""WITH {NUMBERED}, w AS (SELECT *, {_first} FROM np), r AS (SELECT *, {sql_rot('f_yaw', 'f_pitch', 'f_roll', 'a')}, {sql_rot('yaw', 'pitch', 'roll', 'b')} FROM w), m AS (SELECT *, {sql_mul('a', 'b', 'm', ta=True)} FROM r)
-SELECT ep, f, round(degrees(acos(least(greatest((m0 + m4 + m8 - 1) / 2, -1.0), 1.0))), 4) AS angle, {q6('sqrt((x-f_x)**2 + (y-f_y)**2 + (z-f_z)**2)')} AS dist FROM m WHERE f > 0""")
+SELECT ep, f, {q6('degrees(atan2(sqrt((m7-m5)**2 + (m2-m6)**2 + (m3-m1)**2), m0 + m4 + m8 - 1))')} AS angle, {q6('sqrt((x-f_x)**2 + (y-f_y)**2 + (z-f_z)**2)')} AS dist FROM m WHERE f > 0""")
 def g26(spark, d):
     p = _with(numbered(poses(spark, d)), lambda c: sequence.first_frame(c, ["ep"], ["f"]), "f_").where("f > 0")
     ang = se3.angular_distance(se3.pose6(_cols("f_")).r, se3.pose6(_cols()).r)
     dist = se3.norm3(F.col("x") - F.col("f_x"), F.col("y") - F.col("f_y"), F.col("z") - F.col("f_z"))
-    return p.select("ep", "f", F.round(F.degrees(ang), 4).alias("angle"), r6(dist).alias("dist"))
+    return p.select("ep", "f", r6(F.degrees(ang)).alias("angle"), r6(dist).alias("dist"))
 
 
 @R.query("G31_duration", "SELECT episode_index, length, CAST(length * 37 // 3600 AS VARCHAR) || ':' || lpad(CAST(length * 37 % 3600 // 60 AS VARCHAR), 2, '0') || ':' || lpad(CAST(length * 37 % 60 AS VARCHAR), 2, '0') AS hms FROM (SELECT DISTINCT episode_index, length FROM episodes WHERE length IS NOT NULL)")
@@ -200,23 +272,38 @@ near AS (SELECT a.ep, a.f, least(min({_DIST(x='x', y='y', z='z')}), 5.0) AS dist
 re AS (SELECT sm.*, min(dist) OVER (PARTITION BY sm.ep ORDER BY sm.f ROWS BETWEEN CURRENT ROW AND 39 FOLLOWING) AS m FROM sm JOIN near ON near.ep = sm.ep AND near.f = sm.f)"""
 
 
-@R.query("G21_W07_avoidance_turning", f"""WITH {_GHOST}, {_RATE}, g AS (SELECT ep, f, x + v * s * 0.1 * cos(radians(yaw)) AS gx, y + v * s * 0.1 * sin(radians(yaw)) AS gy, z AS gz FROM sp, (SELECT unnest(range(1, 41)) AS s) WHERE s <= n - i AND v > 0.1),
+@R.query("G21_W07_UD7_avoidance_turning", f"""WITH {_GHOST}, {_RATE}, g AS (SELECT ep, f, x + v * s * 0.1 * cos(radians(yaw)) AS gx, y + v * s * 0.1 * sin(radians(yaw)) AS gy, z AS gz FROM sp, (SELECT unnest(range(1, 41)) AS s) WHERE s <= n - i AND v > 0.1),
 gm AS (SELECT g.ep, g.f, least(min({_DIST(x='gx', y='gy', z='gz')}), 5.0) AS gd FROM g JOIN cloud c ON c.ep = g.ep GROUP BY g.ep, g.f),
 k AS (SELECT re.*, 1 / (1 + exp(-((0.5 - m) / 0.2))) AS rr, CASE WHEN gd IS NULL THEN 1 / (1 + exp(-((0.5 - m) / 0.2))) ELSE 1 / (1 + exp(-((0.5 - gd) / 0.2))) END AS rg FROM re LEFT JOIN gm ON gm.ep = re.ep AND gm.f = re.f)
 SELECT ep, f, {q6('greatest(0.0, rg - rr) / (1 + exp(-((w - 15.0) / 5.0)))')} AS score FROM k""")
 def g21(spark, d):
     p = numbered(poses(spark, d))
-    return spatial.avoidance_turning(p, _cloud(p), "ep", ["ep"], "f").select("ep", "f", r6("score").alias("score"))
+    return spatial.avoidance(p, _cloud(p), "ep", ["ep"], "f", "turning").select("ep", "f", r6("score").alias("score"))
 
 
-@R.query("G22_J13_A09_avoidance_velocity", f"""WITH {_GHOST}, {_RATE}, ve AS (SELECT ep, f, x, y, z, {', '.join(f'coalesce(lead({c}) {W} - {c}, {c} - lag({c}) {W}, 0.0) AS d{c}' for c in 'xyz')}, row_number() {W} - 1 + 40 < count(*) OVER (PARTITION BY ep) AS ok FROM np),
+@R.query("G22_J13_A09_UD7_avoidance_velocity", f"""WITH {_GHOST}, {_RATE}, ve AS (SELECT ep, f, x, y, z, {', '.join(f'coalesce(lead({c}) {W} - {c}, {c} - lag({c}) {W}, 0.0) AS d{c}' for c in 'xyz')}, row_number() {W} - 1 + 40 < count(*) OVER (PARTITION BY ep) AS ok FROM np),
 g AS (SELECT ep, f, x + dx * s AS gx, y + dy * s AS gy, z + dz * s AS gz FROM ve, (SELECT unnest(range(1, 41)) AS s) WHERE ok),
 gm AS (SELECT g.ep, g.f, least(min({_DIST(x='gx', y='gy', z='gz')}), 5.0) AS gd FROM g JOIN cloud c ON c.ep = g.ep GROUP BY g.ep, g.f),
 k AS (SELECT re.ep, re.f, ok, radians(w) AS w, 1 / (1 + exp((m - 0.5) * 8.0 - ln(3.0))) AS rr, 1 / (1 + exp((gd - 0.5) * 8.0 - ln(3.0))) AS rg FROM re JOIN ve ON ve.ep = re.ep AND ve.f = re.f LEFT JOIN gm ON gm.ep = re.ep AND gm.f = re.f)
 SELECT ep, f, {q6('CASE WHEN ok THEN greatest(0.0, rg - rr) / (1 + exp(-(10.0 * (w - 0.2)))) ELSE 0.0 END')} AS score FROM k""")
 def g22(spark, d):
     p = numbered(poses(spark, d))
-    return spatial.avoidance_velocity(p, _cloud(p), "ep", ["ep"], "f").select("ep", "f", r6("score").alias("score"))
+    return spatial.avoidance(p, _cloud(p), "ep", ["ep"], "f", "velocity").select("ep", "f", r6("score").alias("score"))
+
+
+_PROB = f"""g AS (SELECT ep, f, x + v * s * 0.1 * cos(radians(yaw)) AS gx, y + v * s * 0.1 * sin(radians(yaw)) AS gy, z AS gz FROM sp, (SELECT unnest(range(1, 36)) AS s)),
+pm AS (SELECT g.ep, g.f, min({_DIST(x='gx', y='gy', z='gz')}) AS m FROM g JOIN cloud c ON c.ep = g.ep GROUP BY g.ep, g.f), pr AS (SELECT ep, f, CASE WHEN m <= 0.01 THEN 1.0 WHEN m >= 1.2 THEN 0.0 ELSE (1.2 - m) / 1.19 END AS prob FROM pm)"""
+
+
+@R.query("F12_high_risk_mask", f"""WITH {_GHOST}, {_RATE}, {_PROB}, b AS (SELECT ep, f, sum(rate) OVER (PARTITION BY ep ORDER BY f ROWS BETWEEN 5 PRECEDING AND 4 FOLLOWING) / 10 AS s FROM rt)
+SELECT b.ep, b.f, {q6('CASE WHEN prob > 0.8 THEN s ELSE 0.0 END')} AS gated, prob > 0.8 AS high FROM b JOIN pr ON pr.ep = b.ep AND pr.f = b.f""")
+def f12(spark, d):
+    """The smoothed yaw rate where the risk of a collision ahead exceeds 0.8, else 0."""
+    p = numbered(poses(spark, d))
+    prob = spatial.collision_probability(p, _cloud(p), "ep", ["ep"], "f")
+    rate = sequence.with_yaw_rate(p, ["ep"], ["f"], "yaw", 0.1).withColumn("s", sequence.box_smooth("yaw_rate", ["ep"], ["f"], 10)).select("ep", "f", "s")
+    high = F.col("prob") > 0.8
+    return rate.join(prob, ["ep", "f"]).select("ep", "f", r6(F.when(high, F.col("s")).otherwise(F.lit(0.0))).alias("gated"), high.alias("high"))
 
 
 @R.query("J07_O08_knn", f"""WITH {_CLOUD}, k AS (SELECT np.ep, np.f, pid, {_DIST(x='x', y='y', z='z')} AS dist FROM np JOIN cloud c ON c.ep = np.ep), r AS (SELECT *, row_number() OVER (PARTITION BY ep, f ORDER BY dist, pid) AS rank FROM k)

@@ -71,12 +71,6 @@ def f08(spark, d):
     return n.withColumn("episode", fn.episode_of_name(F.col("name"))).where("episode IS NOT NULL")
 
 
-@R.query("F18_F01_first_frame_filter", f"WITH {STEPS}, a AS (SELECT ep, min(f) AS f0, max(CASE WHEN f = 0 THEN abs(yaw) END) AS yaw0 FROM steps GROUP BY ep) SELECT ep, f0, {q6('yaw0')} AS yaw0 FROM a WHERE yaw0 <= 5.0")
-def f18(spark, d):
-    a = steps(spark, d).groupBy("ep").agg(F.min("f").alias("f0"), F.max(F.when(F.col("f") == 0, F.abs("yaw"))).alias("yaw0"))
-    return a.where("yaw0 <= 5.0").select("ep", "f0", r6("yaw0").alias("yaw0"))
-
-
 @R.query("F20_missing_files", """WITH e AS (SELECT DISTINCT episode_index FROM episodes WHERE episode_index IS NOT NULL), i AS (SELECT DISTINCT CAST(regexp_extract(path, 'episode_0*(\\d+)_', 1) AS BIGINT) AS ep FROM image_files)
 SELECT episode_index, printf('data/chunk-%03d/episode_%06d.parquet', episode_index // 1000, episode_index) AS expected FROM e WHERE episode_index NOT IN (SELECT ep FROM i WHERE ep IS NOT NULL)""".replace("\\\\", "\\"))
 def f20(spark, d):
@@ -176,7 +170,7 @@ def a07(spark, d):
     return g.select("episode_index", F.size("s").cast("bigint").alias("n_tasks"), F.array_min("s").alias("first_task"))
 
 
-@R.query("A16_O10_status_report", "WITH e AS (SELECT episode_index, max(length) AS length FROM episodes WHERE episode_index IS NOT NULL GROUP BY episode_index), n AS (SELECT episode_index AS ep, count(DISTINCT frame_index) AS n FROM frames WHERE episode_index IS NOT NULL AND frame_index IS NOT NULL GROUP BY ep), s AS (SELECT CASE WHEN length IS NULL THEN 'SKIP' WHEN n IS NULL THEN 'ERROR' WHEN n = length THEN 'SUCCESS' ELSE 'FAIL' END AS status FROM e LEFT JOIN n ON n.ep = e.episode_index) SELECT status, count(*) AS n FROM s GROUP BY status")
+@R.query("A16_status_report", "WITH e AS (SELECT episode_index, max(length) AS length FROM episodes WHERE episode_index IS NOT NULL GROUP BY episode_index), n AS (SELECT episode_index AS ep, count(DISTINCT frame_index) AS n FROM frames WHERE episode_index IS NOT NULL AND frame_index IS NOT NULL GROUP BY ep), s AS (SELECT CASE WHEN length IS NULL THEN 'SKIP' WHEN n IS NULL THEN 'ERROR' WHEN n = length THEN 'SUCCESS' ELSE 'FAIL' END AS status FROM e LEFT JOIN n ON n.ep = e.episode_index) SELECT status, count(*) AS n FROM s GROUP BY status")
 def a16(spark, d):
     e = table(spark, d, "episodes").where("episode_index IS NOT NULL").groupBy(F.col("episode_index").alias("ep")).agg(F.max("length").alias("length"))
     j = e.join(delivered(spark, d).groupBy("ep").agg(F.count_distinct("f").alias("k")), "ep", "left")
@@ -195,22 +189,49 @@ def p01(spark, d):
     return steps(spark, d).select("ep", "f", *[r6(c).alias(n) for n, c in zip(("x", "y", "z", "roll", "pitch"), kept)])
 
 
-@R.query("P04_P08_matrix_layout", """WITH m AS (SELECT scene, fps, width, height FROM scenes) SELECT scene, CAST(fps * 1.0 + width * 2.0 + height * 3.0 AS DOUBLE) AS flat_dot, 9 AS n FROM m""")
-def p04(spark, d):
-    from helmwake.operators.se3 import flat_matrix
+_PARTS = ", ".join(f'CAST(action[{i}] AS DOUBLE)' for i in range(1, 5)) + ", " + ", ".join(f'CAST("observation.state"[{i}] AS DOUBLE)' for i in range(1, 5))
 
-    s = table(spark, d, "scenes")
-    z, v = F.lit(0.0), lambda c: F.col(c).cast("double")
-    nested = F.array(F.array(v("fps"), z, z), F.array(z, v("width"), z), F.array(z, z, v("height")))
-    f = flat_matrix(nested, nested=True)
-    return s.select("scene", F.round(f[0] * 1.0 + f[4] * 2.0 + f[8] * 3.0, 6).alias("flat_dot"), F.size(f).alias("n"))
 
-
-@R.query("P05_frame_assembly", """SELECT episode_index AS ep, frame_index AS f, CAST(max(len(list_concat(action[1:4], "observation.state"[1:4]))) AS BIGINT) AS n FROM frames WHERE len(action) >= 4 AND len("observation.state") >= 4 GROUP BY ALL""")
+@R.query("P05_frame_assembly", f"""SELECT episode_index AS ep, frame_index AS f, CAST(max(len(v)) AS BIGINT) AS n, {q6('max(' + ' + '.join(f'{i} * v[{i}]' for i in range(1, 9)) + ')')} AS content FROM (SELECT episode_index, frame_index, [{_PARTS}] AS v FROM frames WHERE len(action) >= 4 AND len("observation.state") >= 4)
+WHERE NOT list_bool_or(list_transform(v, lambda x: isnan(x))) GROUP BY ALL""")
 def p05(spark, d):
     t = table(spark, d, "frames").where("size(action) >= 4 AND size(`observation.state`) >= 4")
-    joined = F.concat(F.slice("action", 1, 4), F.slice("`observation.state`", 1, 4))
-    return t.groupBy(F.col("episode_index").alias("ep"), F.col("frame_index").alias("f")).agg(F.max(F.size(joined)).cast("bigint").alias("n"))
+    t = t.select("episode_index", "frame_index", F.concat(F.slice("action", 1, 4), F.slice("`observation.state`", 1, 4)).cast("array<double>").alias("v")).where("NOT exists(v, x -> isnan(x))")
+    content = F.lit(0.0)
+    for i in range(8):
+        content = content + (i + 1) * F.col("v")[i]
+    return t.groupBy(F.col("episode_index").alias("ep"), F.col("frame_index").alias("f")).agg(F.max(F.size("v")).cast("bigint").alias("n"), r6(F.max(content)).alias("content"))
+
+
+@R.query("O10_first_discrepancies", """WITH e AS (SELECT episode_index AS ep, max(length) AS length FROM episodes WHERE episode_index IS NOT NULL GROUP BY ep), n AS (SELECT episode_index AS ep, count(DISTINCT frame_index) AS k FROM frames WHERE episode_index IS NOT NULL AND frame_index IS NOT NULL GROUP BY ep)
+SELECT e.ep, 'episode ' || e.ep || ': expected ' || length || ' frames, found ' || coalesce(k, 0) AS message FROM e LEFT JOIN n ON n.ep = e.ep WHERE length <> coalesce(k, 0) ORDER BY e.ep LIMIT 5""")
+def o10(spark, d):
+    """The first five discrepancies of the status report, as messages: a report of five rows."""
+    e = table(spark, d, "episodes").where("episode_index IS NOT NULL").groupBy(F.col("episode_index").alias("ep")).agg(F.max("length").alias("length"))
+    j = e.join(delivered(spark, d).groupBy("ep").agg(F.count_distinct("f").alias("k")), "ep", "left").withColumn("k", F.coalesce("k", F.lit(0)))
+    return j.where("length <> k").select("ep", F.format_string("episode %d: expected %d frames, found %d", "ep", "length", "k").alias("message")).orderBy("ep").limit(5)
+
+
+@R.query("X09_plain_json", "SELECT vec_id, to_json(list_transform(embedding, lambda v: CASE WHEN v > 0 THEN CAST(floor(CAST(v AS DOUBLE) * 1000) AS DOUBLE) END)) AS text FROM embeddings")
+def x09(spark, d):
+    """Vectors as JSON, numbers that JSON lacks as null."""
+    v = F.transform("embedding", lambda x: F.when(x > 0, F.floor(x.cast("double") * 1000).cast("double")).otherwise(F.lit(float("nan"))))
+    return table(spark, d, "embeddings").select("vec_id", fn.plain_json(v).alias("text"))
+
+
+@R.query("X12_take_mask", "SELECT DISTINCT episode_index AS ep, frame_index AS f, [action[1], action[3], action[10]] AS taken, list_concat(action[1:1], action[3:4]) AS kept FROM frames WHERE action IS NOT NULL")
+def x12(spark, d):
+    a = F.col("action")
+    t = table(spark, d, "frames").where("action IS NOT NULL")
+    return t.select(F.col("episode_index").alias("ep"), F.col("frame_index").alias("f"), fn.take(a, F.array(*map(F.lit, (0, 2, 9)))).alias("taken"), fn.masked(a, F.array(*map(F.lit, (True, False, True, True)))).alias("kept")).distinct()
+
+
+@R.query("UD9_zero_state", 'SELECT DISTINCT episode_index AS ep, frame_index AS f, list_transform("observation.state", lambda v: 0.0::FLOAT) AS state FROM frames WHERE "observation.state" IS NOT NULL')
+def ud9(spark, d):
+    from helmwake.operators.stats import zeroed
+
+    s = "`observation.state`"
+    return table(spark, d, "frames").where(f"{s} IS NOT NULL").select(F.col("episode_index").alias("ep"), F.col("frame_index").alias("f"), zeroed(F.col(s)).alias("state")).distinct()
 
 
 @R.query("P11_extras", "SELECT episode_index, any_value(scene) AS scene, CAST(max(width) AS DOUBLE) / 2 AS cx, CAST(max(height) AS DOUBLE) / 2 AS cy FROM (SELECT DISTINCT episode_index, scene FROM episodes WHERE episode_index IS NOT NULL) JOIN scenes USING (scene) GROUP BY episode_index HAVING count(*) = 1")
@@ -220,7 +241,7 @@ def p11(spark, d):
     return g.select("episode_index", "scene", (F.col("w").cast("double") / 2).alias("cx"), (F.col("h").cast("double") / 2).alias("cy"))
 
 
-@R.query("G28_P07_rounding", f"WITH {STEPS} SELECT ep, f, CAST(round_even(f / 2.0, 0) AS BIGINT) AS half, CAST(least(greatest(floor(yaw), -90.0), 90.0) AS BIGINT) AS clipped FROM steps")
+@R.query("G28_rounding", f"WITH {STEPS} SELECT ep, f, CAST(round_even(f / 2.0, 0) AS BIGINT) AS half, CAST(least(greatest(floor(yaw), -90.0), 90.0) AS BIGINT) AS clipped FROM steps")
 def g28(spark, d):
     from helmwake.operators.se3 import clip
 
@@ -267,12 +288,12 @@ def x07(spark, d):
     return t.groupBy("stream").agg(F.count("*").alias("n_lines")).join(good, "stream", "left").select("stream", "n_lines", F.coalesce("n_good", F.lit(0)).alias("n_good"), "frame_sum")
 
 
-@R.query("X08_X09_canonical_key", "SELECT count(*) AS n_rows, count(DISTINCT CAST(to_json(tasks) AS VARCHAR)) AS n_keys FROM episodes WHERE tasks IS NOT NULL")
+@R.query("X08_canonical_key", "SELECT count(*) AS n_rows, count(DISTINCT CAST(to_json(tasks) AS VARCHAR)) AS n_keys FROM episodes WHERE tasks IS NOT NULL")
 def x08(spark, d):
     return table(spark, d, "episodes").where("tasks IS NOT NULL").agg(F.count("*").alias("n_rows"), F.count_distinct(tasks.canonical_key(F.col("tasks"))).alias("n_keys"))
 
 
-@R.query("X10_X12_defaults", "SELECT source, count(*) AS n, max(CASE source WHEN 'field_log' THEN 'log' WHEN 'checklist' THEN 'list' ELSE 'other' END) AS kind FROM documents WHERE source IS NOT NULL GROUP BY source")
+@R.query("X10_defaults", "SELECT source, count(*) AS n, max(CASE source WHEN 'field_log' THEN 'log' WHEN 'checklist' THEN 'list' ELSE 'other' END) AS kind FROM documents WHERE source IS NOT NULL GROUP BY source")
 def x10(spark, d):
     m = F.create_map(F.lit("field_log"), F.lit("log"), F.lit("checklist"), F.lit("list"))
     return table(spark, d, "documents").where("source IS NOT NULL").groupBy("source").agg(F.count("*").alias("n"), F.max(fn.with_default(m, F.col("source"), "other")).alias("kind"))

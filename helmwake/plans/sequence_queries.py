@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from helmwake.operators import sequence as sq
 from helmwake.operators import stats
-from helmwake.plans.base import STEPS, Registry, q6, r6, rounded, sql_wrap, steps
+from helmwake.plans.base import POSES, STEPS, Registry, poses, q6, r6, rounded, sql_wrap, steps
 from helmwake.session import table
 
 R = Registry()
@@ -50,11 +50,6 @@ def a11(spark, d):
     return rounded(r, ["robot"], ["mean", "max", "median", "threshold", "top_mean"]).join(r.select("robot", "n_top"), "robot")
 
 
-@R.query("F12_high_risk_mask", f"WITH {_RATE} SELECT ep, f, {q6('CASE WHEN abs(z) > 0.5 THEN s ELSE 0.0 END')} AS gated FROM smooth")
-def f12(spark, d):
-    return _smooth(spark, d).select("ep", "f", r6(F.when(F.abs("z") > 0.5, F.col("s")).otherwise(F.lit(0.0))).alias("gated"))
-
-
 _SPEED = f"""{STEPS}, sp AS (SELECT *, coalesce(sqrt((x - lag(x) {W})**2 + (y - lag(y) {W})**2 + (z - lag(z) {W})**2), sqrt((x - lead(x) {W})**2 + (y - lead(y) {W})**2 + (z - lead(z) {W})**2), 0.0) / 0.1 AS speed FROM steps)"""
 
 
@@ -160,6 +155,17 @@ def w16(spark, d):
     return s.select("ep", "f", F.size("c").cast("bigint").alias("n"), r6(F.aggregate("c", F.lit(0.0), lambda a, x: a + x)).alias("total"), r6("first_yaw").alias("first_yaw"))
 
 
+@R.query(
+    "W16_frame_subset",
+    f"""WITH {STEPS}, n AS (SELECT *, row_number() {W} AS i, count(*) OVER (PARTITION BY ep) AS n FROM steps), j AS (SELECT ep, f, i, n, unnest([-9999, 0, 4, 15]) AS off FROM n)
+SELECT j.ep, j.f, off, {q6('s.z')} AS z FROM j JOIN n s ON s.ep = j.ep AND s.i = CASE WHEN off = -9999 THEN 1 ELSE least(j.i + off, j.n) END""",
+)
+def w16_subset(spark, d):
+    s = steps(spark, d)
+    subset = [F.struct(F.lit(o).alias("off"), sq.at_offset("z", BY, ON, o).alias("z")) for o in (sq.FIRST, 0, 4, 15)]
+    return s.select("ep", "f", F.explode(F.array(*subset)).alias("p")).select("ep", "f", "p.off", r6("p.z").alias("z"))
+
+
 @R.query("W17_every_kth", f"WITH {STEPS} SELECT scene, count(*) AS n, {q6('avg(x)')} AS mean_x FROM steps WHERE f % 10 = 0 GROUP BY scene")
 def w17(spark, d):
     return sq.every_kth(steps(spark, d), "f", 10).groupBy("scene").agg(F.count("*").alias("n"), r6(F.avg("x")).alias("mean_x"))
@@ -199,16 +205,22 @@ def a12(spark, d):
     return h.select("bin", "n", r6("density").alias("density"))
 
 
-_GRID = [x / 2 for x in range(-20, 21)]
+@R.query("A17_timing", f"""WITH {STEPS}, t AS (SELECT robot, ep, max(ts) - min(ts) AS s FROM steps GROUP BY robot, ep) SELECT robot, count(*) AS n, {q6('avg(s)')} AS mean, {q6('stddev_pop(s)')} AS std FROM t GROUP BY robot""")
+def a17(spark, d):
+    t = steps(spark, d).groupBy("robot", "ep").agg((F.max("ts") - F.min("ts")).alias("s"))
+    return rounded(stats.timing_report(t, ["robot"], "s"), ["robot", "n"], ["mean", "std"])
+
+
+_GRID = [-15 + 30 * i / 499 for i in range(500)]
 
 
 @R.query(
     "A13_kde",
-    f"""WITH {STEPS}, v AS (SELECT z FROM steps), m AS (SELECT stddev_samp(z) * count(*) ** -0.2 AS bw, count(*) AS n FROM v), g AS (SELECT unnest([{', '.join(map(str, _GRID))}]::DOUBLE[]) AS g)
+    f"""WITH {POSES}, v AS (SELECT x AS z FROM poses), m AS (SELECT stddev_samp(z) * count(*) ** -0.2 AS bw, count(*) AS n FROM v), g AS (SELECT unnest([{', '.join(map(str, _GRID))}]::DOUBLE[]) AS g)
 SELECT g, {q6('sum(exp(-((g - z) / bw) * ((g - z) / bw) / 2)) / (max(n) * max(bw) * sqrt(2 * pi()))')} AS density FROM g, v, m GROUP BY g""",
 )
 def a13(spark, d):
-    k = stats.kde(steps(spark, d), "z", _GRID)
+    k = stats.kde(poses(spark, d), "x", _GRID)
     return k.select("g", r6("density").alias("density"))
 
 

@@ -1,23 +1,25 @@
 """The output layout: data/chunk-NNN/episode_NNNNNN.parquet and meta/*.json(l).
 
 Episodes are grouped by hash, written by the executors one file each under a
-temporary name and renamed, so a task that runs twice leaves one whole file. Only
-totals and the metadata's last, ordered file pass through one task.
+temporary name and renamed, so a task that runs twice leaves one whole file.
+Metadata is sorted and written in parts by the executors; only the joining of the
+parts' bytes goes through the driver. All paths may be of any shared file system.
 """
 
 from __future__ import annotations
 
 import json
-import os
-import shutil
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-import pyarrow.parquet as pq
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from helmwake.functions.encoder import PlainEncoder
+from helmwake.operators import runs
 from helmwake.operators.prefix import distributed_prefix_sum
+from helmwake.sinks import fs
 
 CHUNK = 1000
 
@@ -30,11 +32,12 @@ def data_path(episode: int) -> str:
     return f"data/{chunk_dir(episode)}/episode_{episode:06d}.parquet"
 
 
-def with_indexes(frames: DataFrame, fps: float, episode: str = "episode_index", order: str = "frame_index", episodes_before: int = 0) -> DataFrame:
+def with_indexes(frames: DataFrame, fps: float, episode: str = "episode_index", order: str = "frame_index", frames_before: int = 0) -> DataFrame:
     """Dense frame_index and timestamp, index (restarts per episode, as the layout has it) and global_index.
 
     The running number over all episodes is the sum of the lengths before, from
-    one row per episode; the frames themselves are only put in order by episode.
+    one row per episode; the frames themselves are only put in order by episode. It
+    goes on from ``frames_before`` where there is output already.
     """
     w = Window.partitionBy(episode).orderBy(order)
     f = frames.withColumn("__n", (F.row_number().over(w) - 1).cast("bigint"))
@@ -42,7 +45,7 @@ def with_indexes(frames: DataFrame, fps: float, episode: str = "episode_index",
     upto = distributed_prefix_sum(lengths, [], F.shiftright(episode, 10), [episode], "__len", "__upto")
     base = upto.select(episode, (F.col("__upto") - F.col("__len")).alias("__base"))
     f = f.join(base, episode)
-    return f.withColumn(order, F.col("__n")).withColumn("index", F.col("__n")).withColumn("global_index", F.col("__base") + F.col("__n")).withColumn("timestamp", F.col("__n") / fps).drop("__n", "__base")
+    return f.withColumn(order, F.col("__n")).withColumn("index", F.col("__n")).withColumn("global_index", F.col("__base") + F.col("__n") + frames_before).withColumn("timestamp", F.col("__n") / fps).drop("__n", "__base")
 
 
 def _writer(root: str):
@@ -55,11 +58,9 @@ def _writer(root: str):
             if at is None:
                 return
             t = pa.concat_tables(held)
-            path = f"{root}/{data_path(at)}"
-            os.makedirs(os.path.dirname(path), exist_ok=True)
-            tmp = f"{path}.{os.getpid()}.tmp"
-            pq.write_table(t, tmp)
-            os.replace(tmp, path)
+            out = runs.writer(f"{root}/{data_path(at)}", t.schema)
+            out.write(t)
+            out.close()
             done.append((at, data_path(at), t.num_rows))
 
         for b in batches:
@@ -97,43 +98,66 @@ def write_frames(frames: DataFrame, root: str) -> DataFrame:
 
     written = safe.mapInArrow(run, "episode_index bigint, path string, n_rows bigint")
     # writing the list is what runs the tasks; it stays beside the data and never comes to the driver
-    written.write.mode("overwrite").parquet(f"{root}/meta/written")
-    return frames.sparkSession.read.parquet(f"{root}/meta/written")
+    at = f"{root}/meta/written/{uuid.uuid4().hex}"
+    written.write.parquet(at)
+    return frames.sparkSession.read.parquet(at)
 
 
-def write_jsonl(rows: DataFrame, path: str, order: list[str]) -> None:
-    """One JSON object per line, ordered, in one file (K05, O09); for metadata, which has one row per episode or task."""
-    tmp = f"{path}.parts"
-    rows.orderBy(*order).coalesce(1).select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("value")).write.mode("overwrite").text(tmp)
-    part = next(n for n in sorted(os.listdir(tmp)) if n.startswith("part-"))
-    os.makedirs(os.path.dirname(path), exist_ok=True)
-    os.replace(f"{tmp}/{part}", path)
-    shutil.rmtree(tmp)
+def write_jsonl(rows: DataFrame, path: str, order: list[str], append: bool = False) -> None:
+    """One JSON object per line, ordered, in one file (K05, O09); behind the lines that are there where ``append``."""
+    lines = rows.orderBy(*order).select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns])).alias("value"))
+    lines.write.mode("overwrite").text(f"{path}.parts")
+    fs.join_parts(rows.sparkSession, f"{path}.parts", path, append)
 
 
-def write_info(root: str, totals: dict, features: dict, fps: float, robot: str) -> None:
+# The layout's version and the fields every episode file has.
+VERSION = "v2.1"
+STANDARD = {"timestamp": "float32", "frame_index": "int64", "episode_index": "int64", "index": "int64", "task_index": "int64"}
+
+
+def features(shapes: dict[str, dict], fps: float, codec: str = "h264", pix_fmt: str = "yuv420p") -> dict:
+    """The features of info.json: those given (dtype, shape, names), with the description of videos, and the standard fields."""
+    out = {}
+    for name, f in shapes.items():
+        f = {"names": None, **f}
+        if f["dtype"] == "video" and len(f.get("shape", ())) == 3 and not f.get("info"):
+            h, w, c = f["shape"]
+            f["info"] = {"video.height": h, "video.width": w, "video.codec": codec, "video.pix_fmt": pix_fmt, "video.is_depth_map": False, "video.fps": fps, "video.channels": c, "has_audio": False}
+        out[name] = f
+    return out | {k: {"dtype": t, "shape": [1], "names": None} for k, t in STANDARD.items() if k not in shapes}
+
+
+def read_info(spark: SparkSession, root: str) -> dict:
+    """meta/info.json, or an empty one."""
+    path = f"{root}/meta/info.json"
+    return json.loads(fs.read_text(spark, path)) if fs.exists(spark, path) else {}
+
+
+def write_info(spark: SparkSession, root: str, totals: dict, shapes: dict, fps: float, robot: str) -> None:
     """meta/info.json with counters, paths and features."""
     n = int(totals["total_episodes"])
+    videos = sum(f["dtype"] == "video" for f in shapes.values())
     info = {
+        "codebase_version": VERSION,
         "robot_type": robot,
         "fps": fps,
         **{k: int(v) for k, v in totals.items()},
+        "total_videos": videos * n,
         "total_chunks": (n - 1) // CHUNK + 1 if n else 0,
         "chunks_size": CHUNK,
-        "splits": {"train": f"0:{n}"},
         "data_path": "data/chunk-{episode_chunk:03d}/episode_{episode_index:06d}.parquet",
         "video_path": "videos/chunk-{episode_chunk:03d}/{video_key}/episode_{episode_index:06d}.mp4",
-        "features": features,
+        "features": features(shapes, fps),
+        "splits": {"train": f"0:{n}"},
     }
-    os.makedirs(f"{root}/meta", exist_ok=True)
-    with open(f"{root}/meta/info.json", "w") as f:
-        json.dump(info, f, indent=2, ensure_ascii=False)
+    fs.make_folder(spark, f"{root}/meta")
+    fs.write_text(spark, f"{root}/meta/info.json", json.dumps(info, indent=2, ensure_ascii=False, cls=PlainEncoder))
 
 
-def append_progress(path: str, names: list[str]) -> None:
+def append_progress(spark: SparkSession, path: str, names: list[str]) -> None:
     """Appends names to a progress file, one per line."""
-    with open(path, "a") as f:
-        f.writelines(f"{n}\n" for n in names)
+    before = fs.read_text(spark, path) if fs.exists(spark, path) else ""
+    fs.write_text(spark, path, before + "".join(f"{n}\n" for n in names))
 
 
 def missing_files(root: str, episodes: DataFrame) -> DataFrame:
@@ -145,10 +169,10 @@ def missing_files(root: str, episodes: DataFrame) -> DataFrame:
     return want.join(there, "path", "left_anti").select("episode_index", "path")
 
 
-def prepare(root: str, overwrite: bool) -> None:
-    """An empty output folder; one that exists is replaced only on demand."""
-    if os.path.exists(root):
+def prepare(spark: SparkSession, root: str, overwrite: bool, append: bool = False) -> None:
+    """The output folder: empty, or as it is where ``append`` (ST4); one that exists is replaced only on demand."""
+    if fs.exists(spark, root) and not append:
         if not overwrite:
             raise FileExistsError(root)
-        shutil.rmtree(root)
-    os.makedirs(root)
+        fs.remove(spark, root)
+    fs.make_folder(spark, f"{root}/meta")

@@ -21,10 +21,10 @@ def read_trajectories(spark: SparkSession, path: str) -> DataFrame:
     """All frames below a folder or glob (S01, S02): id, frame_idx, image, log, file, row.
 
     Files are read by the vectorised reader, in any number of tasks. ``file`` and
-    ``row`` keep the order in which an id's run is defined.
+    ``row``, the row's place in its file, keep the order in which an id's run is defined.
     """
     t = spark.read.option("recursiveFileLookup", "true").parquet(path)
-    return t.select("id", F.col("frame_idx").cast("bigint").alias("frame_idx"), F.col("image.bytes").alias("image"), "log", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row"))
+    return t.select("id", F.col("frame_idx").cast("bigint").alias("frame_idx"), F.col("image.bytes").alias("image"), "log", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
 
 
 def trajectories(frames: DataFrame) -> DataFrame:

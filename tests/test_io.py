@@ -119,9 +119,9 @@ def test_episode_files_nested_or_flat(spark, tmp_path):
 
 def test_episode_sink(spark, tmp_path):
     root = str(tmp_path / "out")
-    sink.prepare(root, False)
+    sink.prepare(spark, root, False)
     with pytest.raises(FileExistsError):
-        sink.prepare(root, False)
+        sink.prepare(spark, root, False)
     rows = [(e, f * 2, [float(f)] * 4, 7) for e in (3, 1004) for f in range(5)] + [(None, 0, [0.0], 7)]
     df = spark.createDataFrame(rows, "episode_index bigint, frame_index bigint, `observation.state` array<float>, task_index bigint")
     f = sink.with_indexes(df.where("episode_index IS NOT NULL"), 10.0)
@@ -133,11 +133,11 @@ def test_episode_sink(spark, tmp_path):
     assert [r["path"] for r in sink.missing_files(root, spark.createDataFrame([(8,)], "episode_index bigint")).collect()] == ["data/chunk-000/episode_000008.parquet"]
     sink.write_jsonl(spark.createDataFrame([(1, "b"), (0, "a")], "task_index int, task string"), f"{root}/meta/tasks.jsonl", ["task_index"])
     assert [json.loads(x) for x in open(f"{root}/meta/tasks.jsonl")] == [{"task_index": 0, "task": "a"}, {"task_index": 1, "task": "b"}]
-    sink.write_info(root, {"total_episodes": 1001, "total_frames": 10}, {}, 10, "uav")
+    sink.write_info(spark, root, {"total_episodes": 1001, "total_frames": 10}, {}, 10, "uav")
     info = json.load(open(f"{root}/meta/info.json"))
     assert info["total_chunks"] == 2 and info["splits"] == {"train": "0:1001"}
-    sink.append_progress(f"{root}/p.txt", ["a"])
-    sink.append_progress(f"{root}/p.txt", ["b"])
+    sink.append_progress(spark, f"{root}/p.txt", ["a"])
+    sink.append_progress(spark, f"{root}/p.txt", ["b"])
     assert open(f"{root}/p.txt").read() == "a\nb\n"
     out.write_report(spark.range(3), f"{root}/report", [F.desc("id")])
     csv = next(n for n in os.listdir(f"{root}/report") if n.endswith(".csv"))
@@ -158,9 +158,24 @@ def test_video_says_what_is_missing():
 
 
 def test_names(spark):
-    assert [fn.quota(x) for x in ("inf", "ALL", "-3", "7", "2.0")] == [float("inf"), float("inf"), 0.0, 7.0, 2.0]
+    assert [fn.quota(x) for x in ("inf", "ALL", "-3", "7", "2.0")] == [None, None, 0, 7, 2]
     df = spark.createDataFrame([("a/b-c_d/data/chunk-000/episode_000012_7.png",), ("x",), (None,)], "p string")
     p = F.col("p")
     rows = df.select(fn.episode_of_name(fn.base_name(p)).alias("e"), fn.parent(p).alias("d"), fn.stem_of(p).alias("s"), fn.scene_root(p).alias("r"), fn.last_number(p).alias("n"), fn.file_safe(p).alias("f")).collect()
     assert tuple(rows[0]) == (12, "a/b-c_d/data/chunk-000", "episode_000012_7", "a/b-c_d", 7, "a_b-c_d_data_chunk-000_episode_000012_7_png")
     assert tuple(rows[1])[:4] == (None, "", "x", "") and rows[2]["e"] is None
+
+
+def test_compact_json_and_numpy_json(spark):
+    from pyspark.sql import functions as F
+
+    from helmwake.functions.encoder import PlainEncoder
+    from helmwake.operators.tasks import TASKS, compact_json, require_valid
+
+    steps = [{"sub_instruction": "fly 🚁 über \"A\" to 塔", "revised_sub_instruction": "", "sub_indexes": [0, 7]}, {"sum_instruction": "plain", "sum_indexes": [0, 9]}]
+    df = spark.createDataFrame([(json.dumps(steps),), (json.dumps(steps[1:]),)], "t string").select(F.from_json("t", TASKS).alias("t"))
+    assert [r[0] for r in df.select(compact_json(F.col("t"))).collect()] == [json.dumps(s, separators=(",", ":")) for s in (steps, steps[1:])]
+    assert df.select(require_valid(F.col("t")).alias("v")).where("size(v) > 0").count() == 2
+    assert json.loads(json.dumps({"a": np.arange(3), "b": np.float32(0.5), "c": [np.int64(2)]}, cls=PlainEncoder)) == {"a": [0, 1, 2], "b": 0.5, "c": [2]}
+    with pytest.raises(TypeError):
+        json.dumps({"a": object()}, cls=PlainEncoder)

@@ -81,3 +81,77 @@ def test_ce_and_publish(spark, tmp_path):
     assert json.loads(open(f"{root}/meta/episodes.jsonl").readline())["length"] == 5
     s = json.loads(open(f"{root}/meta/episodes_stats.jsonl").readline())["stats"]["observation.state"]
     assert s["max"] == [4.0, 0.0, 0.0, 0.0] and s["count"] == [5] and abs(s["std"][0] - 2**0.5) < 1e-9
+
+
+def lines(path):
+    return [json.loads(x) for x in open(path).read().splitlines()]
+
+
+def converted(spark, names, task):
+    rows = [(s, e, f, task(s, e), [float(f), 0.0, 0.0, 1.0], [1.0] * 8) for s, e, n in names for f in range(n)]
+    return spark.createDataFrame(rows, "source string, source_episode string, frame_index bigint, task string, state array<double>, action array<double>")
+
+
+def test_publishing_twice_appends(spark, tmp_path):
+    """Counters, numbers and files go on behind the first output; known tasks keep their numbers."""
+    root = str(tmp_path / "out")
+    first = converted(spark, [("a", "0", 3), ("b", "0", 2)], lambda s, e: f"go {s}")
+    ex = spark.createDataFrame([("a", "0", [1.0, 2.0]), ("b", "0", [3.0, 4.0])], "source string, source_episode string, K array<double>")
+    err = spark.createDataFrame([("z", "9", "no valid task")], "source string, source_episode string, reason string")
+    assert pipelines.publish(first, root, 10, "uav", extras=ex, errors=err, shapes={"video.ego_view": {"dtype": "video", "shape": [270, 480, 3], "names": ["height", "width", "channels"]}}) == {"total_episodes": 2, "total_frames": 5, "total_tasks": 2}
+    second = converted(spark, [("c", "0", 4), ("c", "1", 1)], lambda s, e: "go b" if e == "0" else "stop")
+    assert pipelines.publish(second, root, 10, "uav", append=True, extras=ex.limit(0), errors=err) == {"total_episodes": 4, "total_frames": 10, "total_tasks": 3}
+    assert lines(f"{root}/meta/tasks.jsonl") == [{"task_index": 0, "task": "go a"}, {"task_index": 1, "task": "go b"}, {"task_index": 2, "task": "stop"}]
+    assert [(x["episode_index"], x["length"], x["tasks"]) for x in lines(f"{root}/meta/episodes.jsonl")] == [(0, 3, ["go a"]), (1, 2, ["go b"]), (2, 4, ["go b"]), (3, 1, ["stop"])]
+    assert [x["episode_index"] for x in lines(f"{root}/meta/episodes_stats.jsonl")] == [0, 1, 2, 3]
+    assert lines(f"{root}/meta/episodes_extras.jsonl")[1] == {"episode_index": 1, "K": [3.0, 4.0]} and len(lines(f"{root}/meta/errors.jsonl")) == 2
+    seen = 0
+    for i, x in enumerate(lines(f"{root}/meta/episodes.jsonl")):
+        t = pq.read_table(f"{root}/data/chunk-000/episode_{i:06d}.parquet").to_pylist()
+        assert len(t) == x["length"] and [r["frame_index"] for r in t] == list(range(len(t))) and {r["episode_index"] for r in t} == {i}
+        assert [r["global_index"] for r in t] == list(range(seen, seen + len(t))) and all(abs(r["timestamp"] - k / 10) < 1e-9 for k, r in enumerate(t))
+        seen += len(t)
+    info = json.load(open(f"{root}/meta/info.json"))
+    assert info["codebase_version"] == "v2.1" and info["splits"] == {"train": "0:4"} and info["total_chunks"] == 1
+    assert info["features"]["observation.state"]["shape"] == [4] and {"timestamp", "frame_index", "episode_index", "index", "task_index"} <= set(info["features"])
+    with pytest.raises(FileExistsError):
+        pipelines.publish(second, root, 10, "uav")
+    assert pipelines.publish(second, root, 10, "uav", overwrite=True)["total_episodes"] == 2
+
+
+def test_splits_by_quota(spark, tmp_path):
+    f = converted(spark, [("a", str(i), i + 1) for i in range(5)], lambda s, e: e)
+    got = pipelines.publish_splits(f, str(tmp_path / "o"), 5, "uav", [("eval", 2), ("train", None)])
+    assert {k: (v["total_episodes"], v["total_frames"]) for k, v in got.items()} == {"eval": (2, 3), "train": (3, 12)}
+    from helmwake import functions as fn
+
+    for words, want in ((("all",), {"eval": 5}), (("2", "1"), {"eval": 2, "train": 1}), (("0", "all"), {"train": 5})):
+        s = pipelines.split_trajectories(f, list(zip(("eval", "train"), map(fn.quota, words))))
+        assert {r["split"]: r["trajectories"] for r in pipelines.split_report(s, 5).collect()} == want
+
+
+def test_n1_levelled_and_strict(spark, tmp_path):
+    sc = tree(tmp_path)
+    r = pipelines.convert_n1_levelled(spark, str(tmp_path), strict=False).where("source_episode = '0'").orderBy("frame_index").collect()
+    new = pipelines.convert_n1(spark, str(tmp_path)).orderBy("frame_index").collect()
+    for i, (x, y) in enumerate(zip(r, new)):  # both forms agree on a level camera
+        assert np.allclose(x["state"], y["state"][:4], atol=1e-5) and np.allclose(x["action"], y["action"], atol=1e-5)
+    with pytest.raises(Exception, match="no valid task"):
+        pipelines.convert_n1_levelled(spark, str(tmp_path)).collect()
+    log = {(x["source_episode"], x["reason"]) for x in pipelines.rejected(spark, str(tmp_path)).collect()}
+    assert log == {("1", "not level"), ("2", "no valid task")}
+    x = {r["source_episode"]: r for r in pipelines.n1_extras(spark, str(tmp_path)).collect()}
+    assert x["0"]["K"][0] == 100.0 and len(x["0"]["T_b_c"]) == 16
+    kept = pipelines.convert_n1_levelled(spark, str(tmp_path), strict=False, keep=lambda f: f.where("episode_index <> 1"))
+    assert {r["source_episode"] for r in kept.select("source_episode").distinct().collect()} == {"0"} and sc.exists()
+
+
+def test_pitch_or_roll_of_a_levelled_camera_is_an_error(spark):
+    from pyspark.sql import functions as F
+
+    from helmwake.operators import se3
+
+    df = spark.createDataFrame([(0.0, 0.0005), (0.2, 0.0)], "p double, r double")
+    assert df.where("p = 0").select(se3.require_level(F.lit(7), F.col("p"), F.col("r")).alias("v")).first()["v"] == 7
+    with pytest.raises(Exception, match="pitch or roll"):
+        df.select(se3.require_level(F.lit(7), F.col("p"), F.col("r"))).collect()
