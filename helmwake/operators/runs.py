@@ -49,6 +49,16 @@ class writer:
         self.fs.move(self.tmp, self.path)
 
 
+def write_bytes(path: str, data: bytes) -> None:
+    """A small file that has its name only once it is whole."""
+    where, at = _fs(path)
+    where.create_dir(os.path.dirname(at), recursive=True)
+    tmp = f"{at}.{os.getpid()}.tmp"
+    with where.open_output_stream(tmp) as f:
+        f.write(data)
+    where.move(tmp, at)
+
+
 def clear(spark: SparkSession, folder: str) -> None:
     """Removes a folder of the shared file system, if it is there."""
     p = spark._jvm.org.apache.hadoop.fs.Path(folder)

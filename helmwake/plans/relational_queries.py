@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -9,8 +11,8 @@ from helmwake import functions as fn
 from helmwake.operators import intervals, tasks
 from helmwake.operators.consolidate import entries
 from helmwake.operators.se3 import half_even
-from helmwake.plans.base import STEPS, Registry, q6, r6, steps
-from helmwake.session import table
+from helmwake.plans.base import POSES, STEPS, Registry, poses, q6, r6, steps
+from helmwake.session import shared_path, table
 
 R = Registry()
 
@@ -332,3 +334,69 @@ def s09(spark, d):
     from helmwake.sources.images import depth_stats
 
     return depth_stats(table(spark, d, "image_files"), "observation.images.depth")
+
+
+# round trips: written by the sinks to the shared folder and read back by the sources
+
+
+def _fresh(spark, name):
+    return shared_path(spark, f"{name}_{uuid.uuid4().hex}")
+
+
+@R.query("K01_S03_S05_episode_files", f"WITH {STEPS} SELECT ep, f, {q6('max(x)')} AS x, {q6('max(yaw)')} AS yaw, 'data/chunk-' || lpad(CAST(ep // 1000 AS VARCHAR), 3, '0') AS chunk FROM steps GROUP BY ep, f")
+def k01(spark, d):
+    """One Parquet file per episode, read back as one table."""
+    from helmwake.sinks.episodes import write_frames
+    from helmwake.sources.episodes import read_frames
+
+    root = _fresh(spark, "k01")
+    write_frames(steps(spark, d).groupBy(F.col("ep").alias("episode_index"), F.col("f").alias("frame_index")).agg(F.max("x").alias("x"), F.max("yaw").alias("yaw")), f"{root}/scene")
+    t = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/scene/data").select(F.col("episode_index").alias("ep"), F.col("frame_index").alias("f"), F.regexp_extract("_metadata.file_path", r"(data/chunk-\d+)/", 1).alias("chunk"))
+    r = read_frames(spark, f"{root}/scene").select(F.col("episode_index").alias("ep"), F.col("frame_index").alias("f"), r6("x").alias("x"), r6("yaw").alias("yaw"))
+    return r.join(t, ["ep", "f"]).select("ep", "f", "x", "yaw", "chunk")
+
+
+@R.query("K08_S12_cloud_files", f"WITH {POSES} SELECT CAST(ep AS VARCHAR) AS scene, count(*) AS n, {q6('sum(px)')} AS x, {q6('min(py)')} AS y, {q6('max(pz)')} AS z FROM poses GROUP BY ep")
+def k08(spark, d):
+    """Point clouds as PLY files, one per scene, read back."""
+    from helmwake.sinks.files import write_clouds
+    from helmwake.sources.clouds import read_ply
+
+    root = _fresh(spark, "k08")
+    p = poses(spark, d).select(F.col("ep").cast("string").alias("scene"), F.col("px").alias("x"), F.col("py").alias("y"), F.col("pz").alias("z"))
+    write_clouds(p, root).write.parquet(f"{root}_list")
+    c = read_ply(spark, root).select(F.regexp_extract("path", r"([^/]+)\.ply$", 1).alias("scene"), "x", "y", "z")
+    return c.groupBy("scene").agg(F.count("*").alias("n"), r6(F.sum("x")).alias("x"), r6(F.min("y")).alias("y"), r6(F.max("z")).alias("z"))
+
+
+@R.query("K05_O09_S07_metadata_lines", "SELECT episode_index, count(*) AS n FROM (SELECT DISTINCT scene, episode_index, length FROM episodes WHERE episode_index IS NOT NULL) GROUP BY episode_index")
+def k05(spark, d):
+    """Metadata as ordered JSON lines, of which only the episode numbers are read back."""
+    from helmwake.sinks.episodes import write_jsonl
+    from helmwake.sources.jsonl import read_episode_indexes
+
+    path = f"{_fresh(spark, 'k05')}/scene/meta/episodes.jsonl"
+    write_jsonl(table(spark, d, "episodes").where("episode_index IS NOT NULL").select("scene", "episode_index", "length").distinct(), path, ["episode_index", "scene", "length"])
+    return read_episode_indexes(spark, path).groupBy("episode_index").agg(F.count("*").alias("n"))
+
+
+@R.query("K09_csv_report", "SELECT scene, count(*) AS n, max(episode_index) AS last FROM frames GROUP BY scene")
+def k09(spark, d):
+    """A report as one ordered CSV file, read back."""
+    from helmwake.sinks.files import write_report
+
+    root = _fresh(spark, "k09")
+    write_report(table(spark, d, "frames").groupBy("scene").agg(F.count("*").alias("n"), F.max("episode_index").alias("last")), root, ["scene"])
+    return spark.read.option("header", "true").schema("scene string, n bigint, last bigint").csv(root)
+
+
+@R.query("K02_S08_image_files", """SELECT file_id, octet_length("observation.images.rgb") AS n_bytes, md5("observation.images.rgb") AS digest FROM image_files WHERE octet_length("observation.images.rgb") > 0""")
+def k02(spark, d):
+    """Images as files in folders, listed and read back; no bytes make no image."""
+    from helmwake.sinks.files import write_images
+
+    root = _fresh(spark, "k02")
+    i = table(spark, d, "image_files").where("octet_length(`observation.images.rgb`) > 0").select(F.format_string("rgb/%03d/image_%d.png", F.col("file_id") % 100, "file_id").alias("path"), F.col("`observation.images.rgb`").alias("data"))
+    write_images(i, root).write.parquet(f"{root}_list")
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+    return r.select(F.regexp_extract("path", r"image_(\d+)\.png$", 1).cast("bigint").alias("file_id"), F.col("length").alias("n_bytes"), F.md5("content").alias("digest"))

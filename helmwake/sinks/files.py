@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -12,6 +11,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helmwake.operators.runs import write_bytes
+from helmwake.sinks import fs
+
 
 def ply_bytes(points: pd.DataFrame) -> bytes:
     """A binary PLY file of x, y, z and, where given, red, green, blue from 0 to 1."""
@@ -31,23 +33,24 @@ def write_clouds(points: DataFrame, folder: str, scene: str = "scene") -> DataFr
 
     A scene's cloud must fit one task; downsample it first (A15).
     """
-    os.makedirs(folder, exist_ok=True)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         name = str(pdf[scene].iloc[0])
         path = f"{folder}/{name}.ply"
-        tmp = f"{path}.{os.getpid()}.tmp"
-        with open(tmp, "wb") as f:
-            f.write(ply_bytes(pdf))
-        os.replace(tmp, path)
+        write_bytes(path, ply_bytes(pdf))
         return pd.DataFrame({"scene": [name], "path": [path], "n_points": [len(pdf)]})
 
     return points.groupBy(scene).applyInPandas(run, "scene string, path string, n_points bigint")
 
 
 def write_report(rows: DataFrame, folder: str, order: list) -> None:
-    """A CSV report with a header, ordered."""
-    rows.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", "true").csv(folder)
+    """A CSV report with a header, ordered, as the one file report.csv of the folder (K09); the rows are sorted and written in parts."""
+    spark = rows.sparkSession
+    rows.orderBy(*order).write.mode("overwrite").csv(f"{folder}.parts")
+    head = ",".join('"' + c.replace('"', '""') + '"' if any(x in c for x in ',"\n') else c for c in rows.columns)
+    fs.write_text(spark, f"{folder}.parts/part-!header", head + "\n")
+    fs.make_folder(spark, folder)
+    fs.join_parts(spark, f"{folder}.parts", f"{folder}/report.csv")
 
 
 def png_bytes(px: np.ndarray) -> bytes:
@@ -73,12 +76,7 @@ def write_images(images: DataFrame, folder: str) -> DataFrame:
     def run(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in it:
             for p, d in zip(pdf["path"], pdf["data"]):
-                full = f"{folder}/{p}"
-                os.makedirs(os.path.dirname(full), exist_ok=True)
-                tmp = f"{full}.{os.getpid()}.tmp"
-                with open(tmp, "wb") as f:
-                    f.write(bytes(d))
-                os.replace(tmp, full)
+                write_bytes(f"{folder}/{p}", bytes(d))
             yield pd.DataFrame({"path": pdf["path"], "n_bytes": pdf["data"].map(len)})
 
     return images.where(F.col("path").isNotNull() & F.col("data").isNotNull()).select("path", "data").mapInPandas(run, "path string, n_bytes bigint")

@@ -52,10 +52,10 @@ def _parse(it: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def read_ply(spark: SparkSession, path: str) -> DataFrame:
-    """The points of all PLY files below a path: scene, x, y, z, red, green, blue. One file is one task's work."""
+    """The points of all PLY files below a path: scene, x, y, z, red, green, blue, path. One file is one task's work."""
     f = spark.read.format("binaryFile").option("pathGlobFilter", "*.ply").option("recursiveFileLookup", "true").load(path).select("path", "content")
     p = f.mapInPandas(_parse, "path string, x double, y double, z double, red double, green double, blue double")
-    return p.select(F.regexp_extract("path", r"([^/]+)/(?:meta/)?[^/]*$", 1).alias("scene"), "x", "y", "z", "red", "green", "blue")
+    return p.select(F.regexp_extract("path", r"([^/]+)/(?:meta/)?[^/]*$", 1).alias("scene"), "x", "y", "z", "red", "green", "blue", "path")
 
 
 def read_points(spark: SparkSession, path: str) -> DataFrame:

@@ -20,7 +20,8 @@ def read_frames(spark: SparkSession, path: str) -> DataFrame:
     """
     t = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "episode_*.parquet").option("mergeSchema", "true").parquet(path)
     file = F.col("_metadata.file_path")
-    cols = [_flat(t, c).alias(c) for c in t.columns]
+    # the path names scene and episode, whatever columns of these names the files hold
+    cols = [_flat(t, c).alias(c) for c in t.columns if c not in ("scene", "episode_index", "row")]
     t = t.select(F.regexp_extract(file, r"([^/]+)/data/", 1).alias("scene"), F.regexp_extract(file, r"episode_0*(\d+)\.parquet$", 1).try_cast("bigint").alias("episode_index"), F.col("_metadata.row_index").alias("row"), *cols)
     return t.where("episode_index IS NOT NULL")
 
