@@ -161,9 +161,10 @@ def w16(spark, d):
 SELECT j.ep, j.f, off, {q6('s.z')} AS z FROM j JOIN n s ON s.ep = j.ep AND s.i = CASE WHEN off = -9999 THEN 1 ELSE least(j.i + off, j.n) END""",
 )
 def w16_subset(spark, d):
-    s = steps(spark, d)
-    subset = [F.struct(F.lit(o).alias("off"), sq.at_offset("z", BY, ON, o).alias("z")) for o in (sq.FIRST, 0, 4, 15)]
-    return s.select("ep", "f", F.explode(F.array(*subset)).alias("p")).select("ep", "f", "p.off", r6("p.z").alias("z"))
+    offs = (sq.FIRST, 0, 4, 15)
+    s = steps(spark, d).select("ep", "f", *[sq.at_offset("z", BY, ON, o).alias(f"z{i}") for i, o in enumerate(offs)])
+    subset = F.array(*[F.struct(F.lit(o).alias("off"), F.col(f"z{i}").alias("z")) for i, o in enumerate(offs)])
+    return s.select("ep", "f", F.inline(subset)).select("ep", "f", "off", r6("z").alias("z"))
 
 
 @R.query("W17_every_kth", f"WITH {STEPS} SELECT scene, count(*) AS n, {q6('avg(x)')} AS mean_x FROM steps WHERE f % 10 = 0 GROUP BY scene")
