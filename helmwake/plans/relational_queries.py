@@ -314,6 +314,19 @@ def s04(spark, d):
     return p.where("scene <> ''").groupBy("scene").agg(F.bool_or("rgb").alias("has_rgb"), F.bool_or("depth").alias("has_depth"), F.count("*").alias("n")).where("has_rgb")
 
 
+@R.query("S17_size_probe", r"""WITH p AS (SELECT regexp_extract(replace(path, '\', '/'), '([a-z]+-[a-z]+__[0-9a-f]+)/videos+/', 1) AS scene, hex("observation.images.rgb") AS h FROM image_files),
+s AS (SELECT scene, CAST('0x' || substr(h, 33, 8) AS INTEGER) AS width, CAST('0x' || substr(h, 41, 8) AS INTEGER) AS height FROM p WHERE scene <> '' AND starts_with(h, '89504E470D0A1A0A') AND len(h) >= 52)
+SELECT scene, min(width) AS least_width, max(width) AS width, min(height) AS least_height, max(height) AS height, count(*) AS n FROM s GROUP BY scene ORDER BY scene LIMIT 5""")
+def s17(spark, d):
+    """Image sizes of the first five scenes, from the headers: a probe of five rows."""
+    from helmwake.sources.images import header_size
+
+    path = F.translate("path", "\\", "/")
+    w, h = header_size(F.col("`observation.images.rgb`"))
+    p = table(spark, d, "image_files").select(F.regexp_extract(path, r"([a-z]+-[a-z]+__[0-9a-f]+)/videos+/", 1).alias("scene"), w.alias("w"), h.alias("h")).where("scene <> '' AND w IS NOT NULL")
+    return p.groupBy("scene").agg(F.min("w").alias("least_width"), F.max("w").alias("width"), F.min("h").alias("least_height"), F.max("h").alias("height"), F.count("*").alias("n")).orderBy("scene").limit(5)
+
+
 @R.query("O07_seeded_sample", "SELECT scene, episode_index FROM (SELECT DISTINCT scene, episode_index FROM episodes) ORDER BY md5(concat_ws(':', scene, episode_index, '42')), scene, episode_index LIMIT 20")
 def o07(spark, d):
     """Twenty episodes by a seeded order: a sampling operator, the same for every run."""

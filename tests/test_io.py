@@ -179,3 +179,44 @@ def test_compact_json_and_numpy_json(spark):
     assert json.loads(json.dumps({"a": np.arange(3), "b": np.float32(0.5), "c": [np.int64(2)]}, cls=PlainEncoder)) == {"a": [0, 1, 2], "b": 0.5, "c": [2]}
     with pytest.raises(TypeError):
         json.dumps({"a": object()}, cls=PlainEncoder)
+
+
+@pytest.mark.parametrize("shape,step", [((7, 5), 1), ((6, 9), 3), ((40, 33), 2), ((1, 4), 4), ((12, 1), 3)])
+def test_filters_along_diagonals(shape, step):
+    rng = np.random.default_rng(1)
+    h, w = shape
+    rows = np.c_[rng.integers(0, 5, (h, 1)), rng.integers(0, 256, (h, w * step))].astype(np.uint8)
+    want, up = [], np.zeros(w * step, np.uint8)
+    for r in rows:
+        line = r[1:].copy()
+        if r[0] == 1:
+            line = np.add.accumulate(line.reshape(w, step), axis=0, dtype=np.uint8).reshape(-1)
+        elif r[0] == 2:
+            line = line + up
+        elif r[0] in (3, 4):
+            line = images._unfilter(line, up, step, int(r[0]))
+        want.append(line)
+        up = line
+    assert (images._along_diagonals(rows, step) == np.array(want)).all()
+
+
+def test_large_image_with_filters_decodes_either_way(monkeypatch):
+    import struct
+    import zlib
+
+    rng = np.random.default_rng(2)
+    h, w = 120, 90
+    body = b"".join(bytes([y % 5]) + rng.integers(0, 256, w * 3, dtype=np.uint8).tobytes() for y in range(h))
+    part = lambda k, d: struct.pack(">I", len(d)) + k + d + struct.pack(">I", zlib.crc32(k + d))
+    data = b"\x89PNG\r\n\x1a\n" + part(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + part(b"IDAT", zlib.compress(body)[:500]) + part(b"IDAT", zlib.compress(body)[500:]) + part(b"IEND", b"")
+    monkeypatch.setattr(images, "DIAGONALS", 0)
+    fast = images.decode_png(data)
+    monkeypatch.setattr(images, "DIAGONALS", 10**9)
+    assert (fast == images.decode_png(data)).all() and fast.shape == (h, w, 3)
+
+
+def test_resize():
+    px = np.arange(48, dtype=np.uint8).reshape(4, 4, 3)
+    assert (images.resized(px, 4, 4) == px).all() and images.resized(px, 8, 2).shape == (2, 8, 3)
+    assert (images.resized(np.full((5, 7), 9, np.uint16), 3, 11) == 9).all()
+    assert images.resized(np.array([[0.0, 10.0]]), 4, 1).tolist() == [[0.0, 2.5, 7.5, 10.0]]
